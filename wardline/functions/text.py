@@ -45,17 +45,17 @@ def word_tokens(text: Column) -> Column:
 
 
 def word_ngrams(text: Column, low: int = 1, high: int = 2) -> Column:
-    words = word_tokens(text)
-    out = []
-    for n in range(low, high + 1):
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))))
-        out.append(
-            F.coalesce(
-                F.transform(starts, lambda s, n=n: F.array_join(F.slice(words, s, n), " ")),
-                F.array().cast("array<string>"),
-            )
-        )
-    return F.concat(*out)
+    def of_size(words: Column, n: int) -> Column:
+        def gram(start: Column) -> Column:
+            return F.concat_ws(" ", *[F.element_at(words, (start + i).cast("int")) for i in range(n)])
+
+        last = F.size(words) - n + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1))))
+        return F.coalesce(F.transform(starts, gram), F.array().cast("array<string>"))
+
+    # The one-element array binds the tokens, which would otherwise be found again for every n-gram.
+    bound = F.array(word_tokens(text))
+    return F.transform(bound, lambda words: F.concat(*[of_size(words, n) for n in range(low, high + 1)]))[0]
 
 
 def flow_token_count(text: Column) -> Column:

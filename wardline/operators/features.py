@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -300,7 +300,8 @@ class FeatureModel:
         inputs = list(self.scalar_columns())
         if self.vocabulary is not None:
             vector = sparse_vector(self.vocabulary_size)(F.col("indices"), F.col("weights"))
-            features = features.withColumn("__text", vector)
+            hint = VectorSizeHint(inputCol="__text", size=self.vocabulary_size, handleInvalid="optimistic")
+            features = hint.transform(features.withColumn("__text", vector))
             cut = len(inputs) if self.pca or self.selected is not None else len(self.base_columns())
             inputs = inputs[:cut] + ["__text"] + inputs[cut:]
         return assemble(features, inputs).select(*kept, "features")

@@ -171,4 +171,7 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
         return _frame(asking_rows, _best(q, x, block["copies"].tolist(), k + 1))
 
     keys = ["c", "cell", "sub", "g"]
+    # New column identities: both sides come from the same blocks.
+    queries = queries.select(*[F.col(n).alias(n) for n in [*keys, "vid", "vec"]])
+    data = data.select(*[F.col(n).alias(n) for n in [*keys, "vid", "vec", "copies"]])
     return queries.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(search, schema)
