@@ -41,7 +41,8 @@ def is_ipv4(ip: Column) -> Column:
 
 
 def is_ipv6(ip: Column) -> Column:
-    return F.coalesce(ip.rlike(IPV6_PATTERN), F.lit(False))
+    """The long pattern runs only on texts with a colon."""
+    return F.coalesce(F.when(ip.contains(":"), ip.rlike(IPV6_PATTERN)), F.lit(False))
 
 
 def octet(ip: Column, position: int) -> Column:
@@ -52,15 +53,15 @@ def octet(ip: Column, position: int) -> Column:
 
 def ip_long(ip: Column) -> Column:
     """IPv4 address as a 32-bit number, NULL if it is not one."""
-    parts = F.split(ip, r"\.")
-    total = F.lit(0).cast("bigint")
-    for position in range(1, 5):
-        total = total * 256 + F.try_element_at(parts, F.lit(position)).try_cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    total = F.aggregate(F.split(ip, r"\."), zero, lambda acc, part: acc * 256 + part.try_cast("bigint"))
     return F.when(is_ipv4(ip), total)
 
 
-def in_ranges(ip: Column, ranges) -> Column:
-    number = ip_long(ip)
+# The functions below take the number and the IPv6 flag of an address, so that a caller
+# can parse each address once and derive several columns from it.
+
+def in_ranges(number: Column, ranges) -> Column:
     hit = F.lit(False)
     for network, bits in ranges:
         low, high = _range_bounds(network, bits)
@@ -68,34 +69,26 @@ def in_ranges(ip: Column, ranges) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
-def is_private_ip(ip: Column) -> Column:
+def private_flag(number: Column, v6: Column) -> Column:
     """1 private, 0 any other valid address, -1 missing or invalid."""
-    return (
-        F.when(in_ranges(ip, PRIVATE_RANGES), 1)
-        .when(is_ipv4(ip) | is_ipv6(ip), 0)
-        .otherwise(-1)
-    )
+    return F.when(in_ranges(number, PRIVATE_RANGES), 1).when(number.isNotNull() | v6, 0).otherwise(-1)
 
 
-def ip_prefix(ip: Column, bits: int) -> Column:
-    number = ip_long(ip)
+def network(number: Column, v6: Column, bits: int) -> Column:
+    """Network address of /bits as a number; IPv6 and invalid addresses have marker values."""
     return (
         F.when(number.isNotNull(), number - number % (2 ** (32 - bits)))
-        .when(is_ipv6(ip), F.lit(IPV6_PREFIX).cast("bigint"))
+        .when(v6, F.lit(IPV6_PREFIX).cast("bigint"))
         .otherwise(F.lit(INVALID_PREFIX).cast("bigint"))
     )
 
 
-def same_subnet(src: Column, dst: Column, bits: int, strict: bool = False) -> Column:
-    """1 if both lie in one /bits network.
+def is_private_ip(ip: Column) -> Column:
+    return private_flag(ip_long(ip), is_ipv6(ip))
+
 
-    Two invalid addresses (or two IPv6 ones) share the marker value and count as equal
-    unless ``strict`` asks for valid IPv4 on both sides.
-    """
-    equal = ip_prefix(src, bits) == ip_prefix(dst, bits)
-    if strict:
-        equal = equal & is_ipv4(src) & is_ipv4(dst)
-    return equal.cast("int")
+def ip_prefix(ip: Column, bits: int) -> Column:
+    return network(ip_long(ip), is_ipv6(ip), bits)
 
 
 def address_class(ip: Column) -> Column:

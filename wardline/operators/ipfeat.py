@@ -117,21 +117,52 @@ def fit_ip_behavior(df: DataFrame, ts_col: str = "timestamp", skip_if_src_host:
     )
 
 
+def with_addresses(df: DataFrame, derive, **addresses: str) -> DataFrame:
+    """Parse each address once, then add the columns ``derive`` makes from {name: (number, v6)}."""
+    parsed, pairs = {}, {}
+    for name, c in addresses.items():
+        parsed[f"__{name}_number"], parsed[f"__{name}_v6"] = ipx.ip_long(F.col(c)), ipx.is_ipv6(F.col(c))
+        pairs[name] = (F.col(f"__{name}_number"), F.col(f"__{name}_v6"))
+    return df.withColumns(parsed).withColumns(derive(pairs)).drop(*parsed)
+
+
+def private_columns(df: DataFrame, **addresses: str) -> DataFrame:
+    return with_addresses(df, lambda a: {f"is_private_{n}": ipx.private_flag(*p) for n, p in a.items()}, **addresses)
+
+
+def prefix_columns(df: DataFrame, bits=(16, 24), **addresses: str) -> DataFrame:
+    return with_addresses(
+        df, lambda a: {f"{n}_prefix_{b}": ipx.network(*p, b) for n, p in a.items() for b in bits}, **addresses)
+
+
+def _same_subnet(pairs, bits: int, strict: bool):
+    """1 if both lie in one /bits network.
+
+    Two invalid addresses (or two IPv6 ones) share the marker value and count as equal
+    unless ``strict`` asks for valid IPv4 on both sides.
+    """
+    equal = ipx.network(*pairs["src"], bits) == ipx.network(*pairs["dst"], bits)
+    if strict:
+        equal = equal & pairs["src"][0].isNotNull() & pairs["dst"][0].isNotNull()
+    return equal.cast("int")
+
+
+def same_subnet(df: DataFrame, src: str = "src_ip", dst: str = "dst_ip", bits=(24, 16), strict: bool = False) -> DataFrame:
+    return with_addresses(df, lambda a: {f"is_same_subnet_{b}": _same_subnet(a, b, strict) for b in bits}, src=src, dst=dst)
+
+
 def ip_topology(df: DataFrame, src: str = "src_ip", dst: str = "dst_ip", strict: bool = False) -> DataFrame:
-    s, d = F.col(src), F.col(dst)
-    return df.withColumns({
-        "is_private_src": ipx.is_private_ip(s),
-        "is_private_dst": ipx.is_private_ip(d),
-        "is_same_subnet_24": ipx.same_subnet(s, d, 24, strict),
-        "is_same_subnet_16": ipx.same_subnet(s, d, 16, strict),
-    })
+    def derive(a):
+        return {
+            **{f"is_private_{n}": ipx.private_flag(*p) for n, p in a.items()},
+            **{f"is_same_subnet_{b}": _same_subnet(a, b, strict) for b in (24, 16)},
+        }
+
+    return with_addresses(df, derive, src=src, dst=dst)
 
 
 def ip_prefix_columns(df: DataFrame, src: str = "src_ip", dst: str = "dst_ip") -> DataFrame:
-    return df.withColumns({
-        f"{name}_prefix_{bits}": ipx.ip_prefix(F.col(c), bits)
-        for name, c in (("src", src), ("dst", dst)) for bits in (16, 24)
-    })
+    return prefix_columns(df, src=src, dst=dst)
 
 
 def ip_octets(df: DataFrame, c: str = "src_ip") -> DataFrame:

@@ -154,7 +154,7 @@ def class_counts(df: DataFrame, class_col: str) -> dict:
 
 
 def hash_cutoffs(df: DataFrame, class_col: str, id_col: str, ranks: dict, seed=SEED,
-                 bucket_rows: int = BUCKET_ROWS) -> dict:
+                 bucket_rows: int = BUCKET_ROWS, rows: int | None = None) -> dict:
     """Hash key of the rows at given 1-based ranks of each class in hash order.
 
     ``ranks``: class -> list of ranks. Two small jobs: counts per leading hash digits,
@@ -165,7 +165,7 @@ def hash_cutoffs(df: DataFrame, class_col: str, id_col: str, ranks: dict, seed=S
     if not any(ranks.values()):
         return {}
     keyed = with_hash(df.select(id_col, class_col), id_col, seed)
-    digits = hex_digits_for(df.count(), bucket_rows)
+    digits = hex_digits_for(df.count() if rows is None else rows, bucket_rows)
     bucket = F.substring("__hash", 1, digits)
     # At most 16^5 buckets per class.
     counts = (

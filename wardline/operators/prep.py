@@ -166,13 +166,13 @@ class PrepModel:
     modes: dict[str, str] = field(default_factory=dict)
     labels: list[str] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, has_label: bool = True) -> DataFrame:
+    def transform(self, df: DataFrame, has_label: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
         """ids, texts, ``label_idx`` (with a label) and the features: one projection, no shuffle.
 
         Texts stay in the row, so text features can still be built later.
         """
         present = set(df.columns)
-        out = [F.col(c) for c in [*self.id_cols, *self.text_cols] if c in present]
+        out = [F.col(c) for c in [*self.id_cols, *self.text_cols, *keep] if c in present]
         if not any(c in present for c in self.id_cols):
             df = ordering.dense_index(df, "event_id")
             out.insert(0, F.col("event_id"))

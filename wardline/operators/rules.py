@@ -48,7 +48,7 @@ def hard_features(df: DataFrame, text_col: str = "message_sanitized") -> DataFra
         "is_empty_product": is_empty_product(F.col("product_name")).cast("int"),
         "username_is_dash": F.coalesce(F.col("username") == "-", F.lit(False)).cast("int"),
         "has_src_ip": (F.coalesce(src, F.lit("")) != "").cast("int"),
-        "src_ip_cgnat": ipx.in_ranges(src, [ipx.CGNAT_RANGE]).cast("int"),
+        "src_ip_cgnat": ipx.in_ranges(ipx.ip_long(src), [ipx.CGNAT_RANGE]).cast("int"),
         "msg_flow_tokens": flow_token_count(F.col(text_col)),
     })
 

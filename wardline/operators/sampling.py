@@ -26,9 +26,9 @@ def _by_class(class_col: Column, cases: list[tuple], default: Column) -> Column:
 
 
 def keep_first(df: DataFrame, class_col: str, id_col: str, quotas: dict, seed=SEED,
-               bucket_rows: int = BUCKET_ROWS) -> Column:
+               bucket_rows: int = BUCKET_ROWS, rows: int | None = None) -> Column:
     """Condition on ``__hash`` that holds for the first ``quota`` rows of each class in hash order."""
-    keys = hash_cutoffs(df, class_col, id_col, {c: [q] for c, q in quotas.items()}, seed, bucket_rows)
+    keys = hash_cutoffs(df, class_col, id_col, {c: [q] for c, q in quotas.items()}, seed, bucket_rows, rows)
     cases = []
     for label, quota in quotas.items():
         key = keys.get((label, quota))
@@ -42,7 +42,7 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, val_size: float
     """Adds ``split`` = 'train' | 'val' with equal class shares. The split itself moves no row."""
     counts = class_counts(df, label_col)
     quotas = {c: math.floor(n * val_size + 0.5) for c, n in counts.items()}
-    in_val = keep_first(df, label_col, id_col, quotas, seed, bucket_rows)
+    in_val = keep_first(df, label_col, id_col, quotas, seed, bucket_rows, sum(counts.values()))
     return (
         with_hash(df, id_col, seed)
         .withColumn("split", F.when(in_val, "val").otherwise("train"))
@@ -56,7 +56,7 @@ def stratified_kfold(df: DataFrame, label_col: str, id_col: str, k: int = N_FOLD
     counts = class_counts(df, label_col)
     # Last rank of each fold: the largest r with (r - 1) * k < (f + 1) * n.
     edges = {c: [((f + 1) * n - 1) // k + 1 for f in range(k - 1)] for c, n in counts.items()}
-    keys = hash_cutoffs(df, label_col, id_col, edges, seed, bucket_rows)
+    keys = hash_cutoffs(df, label_col, id_col, edges, seed, bucket_rows, sum(counts.values()))
     cases = []
     for label, ends in edges.items():
         passed = [

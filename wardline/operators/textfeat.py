@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import text as tx
+from wardline.session import spread
 
 # Vectoriser settings.
 NGRAM_RANGE = (1, 4)
@@ -25,7 +26,7 @@ def term_statistics(df: DataFrame, text_col: str, analyzer: str = "char_wb", ngr
     each row; for characters, occurrences come from word counts, as a word fixes its n-grams.
     Frequent terms are combined on the map side in both cases.
     """
-    text = F.col(text_col)
+    df, text = spread(df.select(text_col)), F.col(text_col)
     if analyzer == "char_wb":
         low, high = ngram_range
         words = df.select(F.explode(tx.words_by_space(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -71,13 +72,18 @@ def tfidf(df: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str, anal
     The vocabulary has a fixed maximum size, so it is broadcast; rows are hashed by id
     once, before the terms are unfolded, and that layout serves both aggregations.
     """
-    terms = (
-        df.select(id_col, text_col).repartition(F.col(id_col))
-        .select(id_col, F.explode_outer(grams(F.col(text_col), analyzer, ngram_range)).alias("term"))
-        .join(F.broadcast(vocabulary.select("term", "term_id", "idf")), "term", "left")
-    )
+    placed = df.select(id_col, text_col).repartition(F.col(id_col))
+    if analyzer == "char_wb":
+        # A word fixes its n-grams, so each word of a row is unfolded once.
+        words = placed.select(id_col, F.explode_outer(tx.words_by_space(F.col(text_col))).alias("word"))
+        words = words.groupBy(id_col, "word").agg(F.count("*").alias("times"))
+        terms = words.select(id_col, "times", F.explode_outer(tx.grams_of_word(F.col("word"), *ngram_range)).alias("term"))
+    else:
+        unfolded = F.explode_outer(grams(F.col(text_col), analyzer, ngram_range)).alias("term")
+        terms = placed.select(id_col, F.lit(1).cast("bigint").alias("times"), unfolded)
+    terms = terms.join(F.broadcast(vocabulary.select("term", "term_id", "idf")), "term", "left")
     weighed = (
-        terms.groupBy(id_col, "term_id", "idf").agg(F.count("term_id").alias("n"))
+        terms.groupBy(id_col, "term_id", "idf").agg(F.sum(F.when(F.col("term_id").isNotNull(), F.col("times")).otherwise(0)).alias("n"))
         .withColumn("w", F.when(F.col("n") > 0, (F.log(F.col("n").cast("double")) + 1.0) * F.col("idf")))
     )
     rows = weighed.groupBy(id_col).agg(

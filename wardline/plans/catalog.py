@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.plans import diagnosis, engineering, evaluation, preparation, rebalancing  # noqa: F401
+from wardline.plans import diagnosis, engineering, evaluation, modelling, preparation, rebalancing  # noqa: F401
 from wardline.plans.registry import ORACLES, QUERIES
 
 

@@ -85,12 +85,14 @@ def _(spark, folder):
 
 @query("is_private_ip", SOC_CTE + f"SELECT event_id, src_ip, {sql_private('src_ip')} AS is_private FROM soc")
 def _(spark, folder):
-    return soc(spark, folder).select("event_id", "src_ip", ipx.is_private_ip(F.col("src_ip")).alias("is_private"))
+    rows = soc(spark, folder).select("event_id", "src_ip")
+    return ipfeat.private_columns(rows, src="src_ip").withColumnRenamed("is_private_src", "is_private")
 
 
 @query("ip_prefix", SOC_CTE + f"SELECT event_id, {sql_prefix('src_ip', 16)} AS prefix_16, {sql_prefix('src_ip', 20)} AS prefix_20 FROM soc")
 def _(spark, folder):
-    return soc(spark, folder).select("event_id", *[ipx.ip_prefix(F.col("src_ip"), b).alias(f"prefix_{b}") for b in (16, 20)])
+    out = ipfeat.prefix_columns(soc(spark, folder).select("event_id", "src_ip"), (16, 20), src="src_ip")
+    return out.select("event_id", *[F.col(f"src_prefix_{b}").alias(f"prefix_{b}") for b in (16, 20)])
 
 
 def sql_same(bits: int) -> str:
@@ -99,8 +101,8 @@ def sql_same(bits: int) -> str:
 
 @query("same_subnet", SOC_CTE + f"SELECT event_id, {sql_same(24)} AS same_24, {sql_same(16)} AS same_16 FROM soc")
 def _(spark, folder):
-    s, d = F.col("src_ip"), F.col("dst_ip")
-    return soc(spark, folder).select("event_id", ipx.same_subnet(s, d, 24).alias("same_24"), ipx.same_subnet(s, d, 16).alias("same_16"))
+    out = ipfeat.same_subnet(soc(spark, folder).select("event_id", "src_ip", "dst_ip"))
+    return out.select("event_id", *[F.col(f"is_same_subnet_{b}").alias(f"same_{b}") for b in (24, 16)])
 
 
 @query("ip_topology", SOC_CTE + f"""SELECT event_id, {sql_private('src_ip')} AS is_private_src, {sql_private('dst_ip')} AS is_private_dst,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators import ensemble, features, models, prep, resample, sampling
-from wardline.session import scratch_path
+from wardline.session import cut_lineage, scratch_path
 from wardline.sources import files
 
 STATE_PREP, STATE_FEATURES, STATE_MODELS = "prep", "features", "models"
@@ -18,14 +18,14 @@ def prepare(df: DataFrame, id_cols, text_cols, label_col, val_size: float = samp
             path: str | None = None) -> tuple[str, prep.PrepModel]:
     """Split, fit and transform, written once as a table partitioned by split.
 
-    Statistics come from the training side only; ``fit_on='all'`` uses every row.
+    Statistics come from the training side only; ``fit_on='all'`` uses every row. The input
+    is stored first, as the fits pass over it several times.
     """
-    id_col = id_cols[0]
-    tagged = sampling.stratified_split(df, label_col, id_col, val_size)
+    df = cut_lineage(df)
+    tagged = sampling.stratified_split(df, label_col, id_cols[0], val_size)
     basis = df if fit_on == "all" else tagged.where("split = 'train'").drop("split")
     model = prep.fit_prep(basis, id_cols, text_cols, label_col)
-    rows = model.transform(df)
-    rows = sampling.stratified_split(rows, "label_idx", id_col, val_size)
+    rows = model.transform(tagged, keep=("split",))
     path = path or scratch_path(df.sparkSession, "prepared")
     files.write_splits(rows, path)
     return path, model

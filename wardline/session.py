@@ -45,6 +45,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Give a small input one partition per core before costly per-row work.
+
+    An input that already fills the cores with full-sized splits is left where it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * 128 * 1024 * 1024:
+        return df
+    return df.repartition(cores, *cols)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
