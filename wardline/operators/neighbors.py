@@ -46,7 +46,7 @@ def _best(queries: np.ndarray, data: np.ndarray, ids: list, k: int) -> list[tupl
 def _frame(block: pd.DataFrame, found) -> pd.DataFrame:
     return pd.DataFrame({
         "c": block["c"].to_numpy(), "vid": block["vid"].to_numpy(),
-        "dists": [d for d, _ in found], "ids": [i for _, i in found],
+        "dists": pd.Series([d for d, _ in found], dtype=object), "ids": pd.Series([i for _, i in found], dtype=object),
     })
 
 
@@ -151,6 +151,8 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
                     hit = part[inside]
                     for sub in range(n_subs):
                         other = hit[(hit["cell"] != cell) | (hit["sub"] != sub)]
+                        if other.empty:
+                            continue
                         yield pd.DataFrame({
                             "c": np.int32(c), "cell": np.int32(cell), "sub": np.int32(sub),
                             "vid": other["vid"], "vec": other["vec"],
@@ -165,7 +167,7 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
 
     def search(asking_rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if asking_rows.empty or block.empty:
-            return pd.DataFrame({"c": [], "vid": [], "dists": [], "ids": []})
+            return _frame(asking_rows.head(0), [])
         x = np.stack(block["vec"].to_numpy()).astype(float)
         q = np.stack(asking_rows["vec"].to_numpy()).astype(float)
         return _frame(asking_rows, _best(q, x, block["copies"].tolist(), k + 1))

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardline.operators import ensemble, features, models, prep, resample, sampling
+from wardline.operators import ensemble, features, models, ordering, prep, resample, sampling
 from wardline.session import cut_lineage, scratch_path
 from wardline.sources import files
 
@@ -60,8 +61,7 @@ def train(df: DataFrame, id_cols, text_cols, label_col, names: list[str], params
     x_train, x_val = vectors(train_rows).persist(), vectors(val_rows).persist()
     fit_rows = x_train
     if resample_method:
-        arrays_ = x_train.select(id_col, "label_idx", models.vector_to_array("features").alias("features"))
-        balanced = resample.resample(arrays_, "label_idx", id_col, "features", resample_method)
+        balanced = _balanced(x_train, id_col, resample_method)
         fit_rows = balanced.withColumn("features", ensemble.array_to_vector("features"))
     trained = {
         name: models.train_single(name, c, fit_rows, x_val) for name, c in models.build_models(names, params, k).items()
@@ -80,6 +80,14 @@ def train(df: DataFrame, id_cols, text_cols, label_col, names: list[str], params
     return Run(prep_model, feature_model, found, table)
 
 
+def _balanced(rows: DataFrame, id_col: str, method: str) -> DataFrame:
+    """Resampled training rows. Resampling numbers its new rows, so text ids are replaced by numbers first."""
+    rows = rows.select(id_col, "label_idx", models.vector_to_array("features").alias("features"))
+    if not isinstance(rows.schema[id_col].dataType, T.IntegralType):
+        rows = ordering.dense_index(cut_lineage(rows.drop(id_col)), id_col)
+    return resample.resample(rows, "label_idx", id_col, "features", method)
+
+
 def save_run(run: Run, spark: SparkSession, path: str) -> None:
     run.prep_model.save(spark, f"{path}/{STATE_PREP}")
     run.feature_model.save(spark, f"{path}/{STATE_FEATURES}")
