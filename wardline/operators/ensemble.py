@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -64,17 +65,20 @@ def _stack_features(df: DataFrame, members: list[Fitted], passthrough: bool) ->
 
 
 def stack_oof(bases: dict[str, Classifier], df: DataFrame, label_col: str, id_col: str, folds: int = STACK_FOLDS,
-              passthrough: bool = True) -> DataFrame:
+              passthrough: bool = True, parallelism: int = 3) -> DataFrame:
     """Each row once, scored by base models that never saw it: (id, label, fold, meta array).
 
     Probabilities are attached in the row, so the fold tables only need a union.
     """
-    rows = stratified_kfold(df.select(id_col, label_col, "features"), label_col, id_col, folds).persist()
-    parts = []
-    for f in range(folds):
+    rows = cut_lineage(stratified_kfold(df.select(id_col, label_col, "features"), label_col, id_col, folds))
+
+    def one(f: int) -> DataFrame:
         train, held = rows.where(F.col("fold") != f), rows.where(F.col("fold") == f)
         members = [c.fit(train, label_col) for c in bases.values()]
-        parts.append(_stack_features(held, members, passthrough).select(id_col, label_col, "fold", "meta"))
+        return _stack_features(held, members, passthrough).select(id_col, label_col, "fold", "meta")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(one, range(folds)))
     return reduce(DataFrame.unionByName, parts)
 
 

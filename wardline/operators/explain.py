@@ -18,7 +18,7 @@ from wardline.functions.hashing import SEED, hash_hex, hash_int
 from wardline.operators.metrics import per_class_prf
 from wardline.operators.ordering import hash_rank
 from wardline.operators.sampling import sample_without_replacement
-from wardline.session import cut_lineage, scratch_path
+from wardline.session import cut_lineage, scratch_path, spread
 
 # Sample sizes of the explanation methods.
 TREE_ROWS = 2000
@@ -29,7 +29,7 @@ PERMUTATION_ROWS = 20_000
 REPEATS = 5
 TARGET_CLASS = 1
 # Leaves handled in one pass over the rows; larger models take several passes.
-LEAVES_PER_PASS = 200_000
+LEAVES_PER_PASS = 20_000
 
 
 def limited(df: DataFrame, id_col: str, max_rows: int | None) -> DataFrame:
@@ -105,7 +105,7 @@ def shap_tree(model, df: DataFrame, id_col: str, feature_names: list[str], class
     weights = [float(w) for w in model.treeWeights] if type(model).__name__.startswith("GBT") else []
     leaves = _leaves(spark, model, class_index, weights)
     base = sum(leaf["value"] * float(np.prod([p[2] for p in leaf["path"].values()])) for leaf in leaves)
-    rows = limited(df, id_col, max_rows).select(id_col, vector_to_array("features").alias("x"))
+    rows = spread(limited(df, id_col, max_rows).select(id_col, vector_to_array("features").alias("x")))
     width = len(feature_names)
     id_type = df.schema[id_col].dataType.simpleString()
     parts = []
@@ -142,7 +142,7 @@ def shap_sampling(model, df: DataFrame, background: DataFrame, id_col: str, feat
     the change at each switch is the contribution.
     """
     d = len(feature_names)
-    rows = limited(df, id_col, max_rows).select(id_col, vector_to_array("features").alias("x"))
+    rows = spread(limited(df, id_col, max_rows).select(id_col, vector_to_array("features").alias("x")))
     ground = sample_without_replacement(background.select(id_col, "features"), id_col, background_rows)
     # At most ``background_rows`` rows from here on.
     ground = ground.select(

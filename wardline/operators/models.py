@@ -23,6 +23,7 @@ from wardline.functions import arrays
 from wardline.operators import metrics
 from wardline.operators.resample import with_class_weight
 from wardline.operators.sampling import stratified_kfold
+from wardline.session import spread
 from wardline.sources.state import load_meta, save_meta
 
 PRIMARY = "f1_macro"
@@ -104,10 +105,14 @@ class Classifier:
 
     def fit(self, df: DataFrame, label_col: str = "label_idx", features: str = "features") -> Fitted:
         p = self.settings()
-        kept = df.select(F.col(label_col).cast("double").alias("__y"), F.col(features).alias("features"))
-        if p.get("balanced"):
-            kept = with_class_weight(kept, "__y", "__w")
-        weight = "__w" if p.get("balanced") else None
+        kept = spread(df.select(F.col(label_col).cast("double").alias("__y"), F.col(features).alias("features"))).persist()
+        try:
+            weight = "__w" if p.get("balanced") else None
+            return self._fit(with_class_weight(kept, "__y", "__w") if weight else kept, p, weight)
+        finally:
+            kept.unpersist()
+
+    def _fit(self, kept: DataFrame, p: dict, weight: str | None) -> Fitted:
         if self.kind == "random_forest":
             est = forest("__y", p["num_trees"], p["max_depth"], p["min_leaf"], weight, self.seed)
             return Fitted(self.kind, self.k, [est.fit(kept)], p)
@@ -133,8 +138,6 @@ class Classifier:
 
     def _fit_one_vs_rest(self, rows: DataFrame, p: dict, weight: str | None) -> list:
         """One binary boosting per class, trained side by side over one cached input."""
-        rows = rows.persist()
-
         def one(c: int):
             binary = rows.withColumn("__one", (F.col("__y") == c).cast("double"))
             est = GBTClassifier(
@@ -143,11 +146,8 @@ class Classifier:
             )
             return (est.setWeightCol(weight) if weight else est).fit(binary)
 
-        try:
-            with ThreadPoolExecutor(self.k) as pool:
-                return list(pool.map(one, range(self.k)))
-        finally:
-            rows.unpersist()
+        with ThreadPoolExecutor(self.k) as pool:
+            return list(pool.map(one, range(self.k)))
 
 
 def build_models(names: list[str], params: dict[str, dict] | None = None, k: int = 3, seed: int = 42) -> dict[str, Classifier]:

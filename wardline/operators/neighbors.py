@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions.hashing import SEED, hash_hex
+from wardline.session import cut_lineage
 
 DIGITS = 9
 BLOCK_ROWS = 16_384
@@ -64,19 +65,8 @@ def _distinct_vectors(df: DataFrame, id_col: str, vec_col: str, class_col: str |
     )
 
 
-def knn(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None = None,
-        block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, neighbor, rank, dist2): the k nearest other rows, of the same class if ``class_col`` is given.
-
-    Order is (squared distance rounded to 9 digits, id).
-    """
-    vectors = _distinct_vectors(df, id_col, vec_col, class_col, k).persist()
-    total = vectors.count()
-    n_cells = min(MAX_PIVOTS, max(1, math.ceil(total / block_rows)))
-    pivot_rows = vectors.orderBy(hash_hex(SEED, F.col("vid")), "vid", "c").limit(n_cells).select("vec").collect()
-    pivots = np.array([r["vec"] for r in pivot_rows], dtype=float).reshape(len(pivot_rows), -1)
-
-    cell_schema = "c int, vec array<double>, vid bigint, copies array<bigint>, cell int, reach double"
+def _to_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Adds the nearest pivot and the distance to it."""
 
     def assign(batches):
         for batch in batches:
@@ -86,7 +76,25 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None
             reach = np.sqrt(((x - pivots[cell]) ** 2).sum(1))
             yield batch.assign(cell=cell.astype("int32"), reach=reach)
 
-    cells = vectors.mapInPandas(assign, cell_schema)
+    return vectors.mapInPandas(assign, "c int, vec array<double>, vid bigint, copies array<bigint>, cell int, reach double")
+
+
+def knn(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None = None,
+        block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, neighbor, rank, dist2): the k nearest other rows, of the same class if ``class_col`` is given.
+
+    Order is (squared distance rounded to 9 digits, id).
+    """
+    vectors = cut_lineage(_distinct_vectors(df, id_col, vec_col, class_col, k))
+    total = vectors.count()
+    n_cells = min(MAX_PIVOTS, max(1, math.ceil(total / block_rows)))
+    pivots = None
+    if n_cells == 1:
+        cells = vectors.withColumns({"cell": F.lit(0), "reach": F.lit(0.0)})
+    else:
+        pivot_rows = vectors.orderBy(hash_hex(SEED, F.col("vid")), "vid", "c").limit(n_cells).select("vec").collect()
+        pivots = np.array([r["vec"] for r in pivot_rows], dtype=float)
+        cells = cut_lineage(_to_cells(vectors, pivots))
     # At most pivots x classes rows.
     stats = {
         (r["c"], r["cell"]): (r["n"], r["radius"])
@@ -110,8 +118,11 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None
 
     own = blocks.groupBy("c", "cell", "sub").applyInPandas(search_own, found_schema)
     candidates = own
-    if len(subs) > 1 or max(subs.values(), default=1) > 1:
-        own = own.persist()
+    per_class: dict[int, int] = {}
+    for (c, _), n in subs.items():
+        per_class[c] = per_class.get(c, 0) + n
+    if max(per_class.values(), default=1) > 1:
+        own = cut_lineage(own)
         candidates = own.unionByName(_search_others(blocks, own, pivots, stats, subs, k, block_rows, found_schema))
 
     merged = (
@@ -139,7 +150,10 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
     def visits(batches):
         for batch in batches:
             x = np.stack(batch["vec"].to_numpy()).astype(float)
-            gaps = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * x @ pivots.T, 0))
+            if pivots is None:
+                gaps = np.zeros((len(x), 1))
+            else:
+                gaps = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * x @ pivots.T, 0))
             bound = np.array([d[k] if len(d) > k else np.inf for d in batch["dists"]])
             reach = np.sqrt(bound + 4.0 * 10.0**-DIGITS) + 1e-6
             for c, part in batch.groupby("c"):

@@ -13,7 +13,8 @@ from wardline.session import cut_lineage
 # Rows one sort task or one driver-side table may hold.
 BUCKET_ROWS = 500_000
 SMALL_ROWS = 1_000_000
-MAX_HEX = 5
+MAX_HEX = 4
+MAX_CLASSES = 10_000
 
 
 # --- exact quantiles ---------------------------------------------------------
@@ -149,8 +150,11 @@ def with_hash(df: DataFrame, id_col: str, seed=SEED, out: str = "__hash") -> Dat
 
 
 def class_counts(df: DataFrame, class_col: str) -> dict:
-    """Rows per class. The number of classes is a property of the task, not of the data size."""
-    return {r[class_col]: r["n"] for r in df.groupBy(class_col).agg(F.count("*").alias("n")).collect()}
+    """Rows per class; a column with more than MAX_CLASSES values is refused before it reaches the driver."""
+    rows = df.groupBy(class_col).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{class_col} has more than {MAX_CLASSES} values and is no class column")
+    return {r[class_col]: r["n"] for r in rows}
 
 
 def hash_cutoffs(df: DataFrame, class_col: str, id_col: str, ranks: dict, seed=SEED,
@@ -167,7 +171,7 @@ def hash_cutoffs(df: DataFrame, class_col: str, id_col: str, ranks: dict, seed=S
     keyed = with_hash(df.select(id_col, class_col), id_col, seed)
     digits = hex_digits_for(df.count() if rows is None else rows, bucket_rows)
     bucket = F.substring("__hash", 1, digits)
-    # At most 16^5 buckets per class.
+    # At most 16^MAX_HEX buckets per class.
     counts = (
         keyed.groupBy(F.col(class_col).alias("c"), bucket.alias("b")).agg(F.count("*").alias("n"))
         .toPandas().sort_values(["c", "b"])

@@ -99,8 +99,8 @@ def categorical_modes(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def fit_labels(df: DataFrame, label_col: str) -> list[str]:
-    rows = df.select(F.col(label_col).cast("string").alias("v")).where("v IS NOT NULL").distinct()
-    return sorted((r["v"] for r in rows.collect()), key=lambda v: v.encode("utf-8"))
+    counts = ordering.class_counts(df.select(F.col(label_col).cast("string").alias("v")), "v")
+    return sorted((v for v in counts if v is not None), key=lambda v: v.encode("utf-8"))
 
 
 def label_table(spark: SparkSession, labels: list[str]) -> DataFrame:
