@@ -96,11 +96,13 @@ class StackingModel:
 
 def train_stacking(bases: dict[str, Classifier], df: DataFrame, label_col: str, id_col: str, final: Classifier | None = None,
                    folds: int = STACK_FOLDS, passthrough: bool = True) -> StackingModel:
-    """Final estimator on out-of-fold probabilities; base models refitted on all rows."""
+    """Final estimator on out-of-fold probabilities; base models refitted on all rows, side by side with it."""
     final = final or Classifier("logistic", k=next(iter(bases.values())).k)
     meta = cut_lineage(stack_oof(bases, df, label_col, id_col, folds, passthrough))
-    fitted = final.fit(meta.withColumn("features", array_to_vector("meta")), label_col)
-    return StackingModel({n: c.fit(df, label_col) for n, c in bases.items()}, fitted, passthrough)
+    with ThreadPoolExecutor(len(bases) + 1) as pool:
+        top = pool.submit(final.fit, meta.withColumn("features", array_to_vector("meta")), label_col)
+        members = {n: pool.submit(c.fit, df, label_col) for n, c in bases.items()}
+        return StackingModel({n: m.result() for n, m in members.items()}, top.result(), passthrough)
 
 
 @dataclass
