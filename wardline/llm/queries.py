@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm import sql
 from wardline.llm.base import pick
+from wardline.llm.byte_bpe import encode_decode
 from wardline.llm.token_files import token_table
 from wardline.llm.url_filter import judge_urls
 
@@ -39,6 +40,17 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_table(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@query
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = encode_decode(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = pick(table(spark, folder, "pages"), "page_id", "url")

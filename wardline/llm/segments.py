@@ -96,13 +96,13 @@ class Memo:
     from the segments of the current slice, so its memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 1_000_000):
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 1_000_000, kind=np.int32):
+        self.encode, self.most, self.kind = encode, most, kind
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.offsets, self.values = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.offsets, self.values = np.zeros(1, np.int64), np.zeros(0, self.kind)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -110,9 +110,13 @@ class Memo:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.rows[at], -1)
 
-    def __call__(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, offsets of the texts among them)."""
-        starts = segment_starts(flat, offsets)
+    def __call__(self, flat: np.ndarray, offsets: np.ndarray,
+                 starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(results of all texts end to end, offsets of the texts among them).
+
+        ``starts``: where segments start, text starts included; by default at white space.
+        """
+        starts = segment_starts(flat, offsets) if starts is None else starts
         ends = np.append(starts[1:], len(flat))
         coded, keys = pd.factorize(range_hashes(flat, starts, ends))
         if len(self.keys) + len(keys) > 2 * self.most:
@@ -126,7 +130,7 @@ class Memo:
             found = self.encode([data[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             rows[new] = len(self.offsets) - 1 + np.arange(len(new))
             self.offsets = np.append(self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in found]))
-            self.values = np.append(self.values, np.fromiter(chain.from_iterable(found), np.int32))
+            self.values = np.append(self.values, np.fromiter(chain.from_iterable(found), self.kind))
             every, order = np.append(self.keys, keys[new]), np.append(self.rows, rows[new])
             by_key = np.argsort(every)
             self.keys, self.rows = every[by_key], order[by_key]
