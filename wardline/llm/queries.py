@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import sql
+from wardline.llm import byte_cnn, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
 from wardline.llm.token_files import token_table
@@ -40,6 +40,23 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_table(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+#: Labels of ids with this remainder of crc32(id as text) mod 3 are held out.
+HELD_OUT = 1
+
+
+def id_remainder():
+    return F.crc32(F.col("doc_id").cast("string")) % 3
+
+
+@query
+def op5_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(table(spark, folder, "documents"), "doc_id", "text")
+    net = byte_cnn.fit(docs, table(spark, folder, "labels"), id_remainder() != HELD_OUT)
+    scored = byte_cnn.add_score(docs, net)
+    return scored.select("doc_id", (id_remainder() == HELD_OUT).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
