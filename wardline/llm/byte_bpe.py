@@ -20,44 +20,42 @@ from wardline.llm.base import pick
 from wardline.llm.segments import Memo, slices, utf8_bytes
 
 #: Words in one recursive query.
-WORDS = 50_000
+WORDS = 10_000
 
 #: What rank-file libraries take for white space, written out because engines differ.
 _SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 # A round: the neighbours of each token, the rank of the pair with either one, the lowest rank
 # of the word. A token whose pair to the right has that rank becomes the merged token, the one
-# to the right of it goes. In runs of one token (a word where some pair has equal halves) pairs
-# overlap: the odd places of a run, counted from the left, are the pairs taken.
+# to the right of it goes (-1). In runs of one token (a word where some pair has equal halves)
+# pairs overlap: the odd places of a run, counted from the left, are the pairs taken. The table
+# is kept by word and position, so it holds one state of each, not one per round; the round
+# makes every row of a word that still changes new, so that the next round sees all of it.
 _ENCODE = """
-WITH RECURSIVE steps AS (
-  SELECT 0 AS round, word, pos, tok FROM words
-  UNION ALL (
+WITH RECURSIVE steps(round, word, pos, tok) USING KEY (word, pos) AS (
+  SELECT 0, word, pos, tok FROM words
+  UNION (
   WITH beside AS (
       SELECT round, word, pos, tok, lead(tok) OVER w AS after, lag(tok) OVER w AS before
-      FROM steps WINDOW w AS (PARTITION BY word ORDER BY pos)),
+      FROM steps WHERE tok >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)),
     ranked AS (
       SELECT b.*, m.rank, n.rank AS back FROM beside b
       LEFT JOIN merges m ON tok = m.l AND after = m.r LEFT JOIN merges n ON before = n.l AND tok = n.r),
     lowest AS (
       SELECT word, min(rank) AS low, bool_or(tok = after) AS twin FROM ranked WHERE rank IS NOT NULL GROUP BY word),
     live AS (SELECT r.*, low, twin FROM ranked r JOIN lowest USING (word))
-  SELECT round + 1, word, pos, CASE WHEN rank = low THEN low ELSE tok END
-  FROM live WHERE NOT twin AND back IS DISTINCT FROM low
+  SELECT round + 1, word, pos, CASE WHEN back IS NOT DISTINCT FROM low THEN -1 WHEN rank = low THEN low ELSE tok END
+  FROM live WHERE NOT twin
   UNION ALL
-  SELECT round + 1, word, pos, CASE WHEN rank = low AND (place % 2 = 1 OR tok <> after) THEN low ELSE tok END
+  SELECT round + 1, word, pos, CASE WHEN back IS NOT DISTINCT FROM low AND (before <> tok OR place % 2 = 0) THEN -1
+    WHEN rank = low AND (place % 2 = 1 OR tok <> after) THEN low ELSE tok END
   FROM (SELECT *, row_number() OVER (PARTITION BY word, run ORDER BY pos) AS place FROM (
     SELECT *, sum(CASE WHEN before = tok THEN 0 ELSE 1 END) OVER (PARTITION BY word ORDER BY pos) AS run
-    FROM live WHERE twin))
-  WHERE back IS DISTINCT FROM low OR (before = tok AND place % 2 = 1)))
-SELECT word, tok FROM steps JOIN (SELECT word, max(round) AS round FROM steps GROUP BY word) USING (word, round)
-ORDER BY word, pos
+    FROM live WHERE twin))))
+SELECT word, tok FROM steps WHERE tok >= 0 ORDER BY word, pos
 """
 
-_DECODE = """
-SELECT run, string_agg(piece, '' ORDER BY pos) AS text
-FROM ids JOIN vocabulary USING (tok) GROUP BY run ORDER BY run
-"""
+_DECODE = "SELECT string_agg(piece, '' ORDER BY run, pos) AS text FROM ids JOIN vocabulary USING (tok)"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -68,13 +66,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class DuckBpe:
     """Encoder and decoder of one rank file, with memos of the segments met by this worker."""
 
-    def __init__(self, path: str, pattern: str, most: int = 1_000_000):
+    def __init__(self, path: str, pattern: str, most_words: int = 1_000_000,
+                 most_segments: int = 400_000):
         import duckdb
         import regex
 
         ranks = read_ranks(path)
         inside = pattern.replace("[^\\s", "[^" + _SPACES).replace("\\s", f"[{_SPACES}]").replace("\\S", f"[^{_SPACES}]")
-        self.pattern, self.most, self.words = regex.compile(inside), most, {}
+        self.pattern, self.words = regex.compile(inside), Memo(self.encode_words, most_words)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for token, rank in ranks.items():
@@ -82,7 +81,7 @@ class DuckBpe:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "96MB", "temp_directory": ""})
         self._table("given", l=left, r=right, rank=merged)
         self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
         # a piece is text with one character per byte: any bytes are valid there
@@ -92,9 +91,10 @@ class DuckBpe:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM pieces")
         # an id run starts at a token that starts with white space: such runs recur as words do
         self.leads = np.zeros(max(ranks.values()) + 1, bool)
+        self.lengths = np.zeros(len(self.leads), np.int64)
         for token, rank in ranks.items():
-            self.leads[rank] = token[:1] in b" \n"
-        self.encoded, self.decoded = Memo(self._segments, most), Memo(self._runs, most, np.uint8)
+            self.leads[rank], self.lengths[rank] = token[:1] in b" \n", len(token)
+        self.encoded, self.decoded = Memo(self._segments, most_segments), Memo(self._runs, most_segments, np.uint8)
 
     def _table(self, name: str, **columns) -> None:
         self.con.register(name, pa.table({k: pa.array(v, pa.int32()) for k, v in columns.items()}))
@@ -106,36 +106,39 @@ class DuckBpe:
         ends = np.cumsum(sizes)
         return np.repeat(np.arange(len(parts)), sizes), np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        out: list[list[int]] = []
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words end to end, number of ids of each)."""
+        ids, sizes = [], []
         for k in range(0, len(words), WORDS):
             part = words[k:k + WORDS]
             number, place = self._numbered(part)
             self._table("words", word=number, pos=place, tok=self.single[np.frombuffer(b"".join(part), np.uint8)])
             rows = self.con.execute(_ENCODE).fetchnumpy()
-            cuts = np.searchsorted(rows["word"], np.arange(len(part) + 1)).tolist()
-            ids = rows["tok"].tolist()
-            out += [ids[a:b] for a, b in zip(cuts, cuts[1:])]
-        return out
+            ids.append(np.asarray(rows["tok"], np.int32))
+            sizes.append(np.bincount(rows["word"], minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
-    def decode_runs(self, runs: list[list[int]]) -> list[bytes]:
+    def decode_runs(self, runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the id runs end to end, number of bytes of each)."""
         out: list[bytes] = []
+        sizes: list[np.ndarray] = []
         for k in range(0, len(runs), WORDS):
             part = runs[k:k + WORDS]
             number, place = self._numbered(part)
-            self._table("ids", run=number, pos=place, tok=np.concatenate([np.asarray(r) for r in part]))
-            out += [text.encode("latin-1") for _, text in self.con.execute(_DECODE).fetchall()]
-        return out
+            self._table("ids", run=number, pos=place, tok=np.concatenate(part))
+            rows = self.con.execute(_DECODE).fetchnumpy()
+            out.append(rows["text"][0].encode("latin-1"))
+            sizes.append(np.bincount(number, self.lengths[np.concatenate(part)], len(part)).astype(np.int64))
+        return np.frombuffer(b"".join(out), np.uint8), np.concatenate(sizes)
 
-    def _segments(self, segments: list[bytes]) -> list[list[int]]:
-        if len(self.words) > self.most:
-            self.words.clear()
+    def _segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.pattern.findall(s.decode()) for s in segments]
-        new = list({w for words in cut for w in words if w not in self.words})
-        self.words.update(zip(new, self.encode_words([w.encode() for w in new])))
-        return [self.words[w[0]] if len(w) == 1 else [i for x in w for i in self.words[x]] for w in cut]
+        sizes = np.array([len(w.encode()) for words in cut for w in words], np.int64)
+        text_ends = np.cumsum([len(s) for s in segments])
+        ids, at = self.words(np.frombuffer(b"".join(segments), np.uint8), np.append(0, text_ends), np.cumsum(sizes) - sizes)
+        return ids, np.diff(at)
 
-    def _runs(self, runs: list[bytes]) -> list[bytes]:
+    def _runs(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return self.decode_runs([np.frombuffer(r, np.int32) for r in runs])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +176,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         bpe = worker_bpe(path, pattern)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            for a, b in slices(texts, 4 << 20):
+            for a, b in slices(texts, 2 << 20):
                 ids, at = bpe.encode(texts.slice(a, b - a))
                 data, ends = bpe.decode(ids, at)
                 yield pa.RecordBatch.from_arrays([

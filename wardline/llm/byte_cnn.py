@@ -5,12 +5,11 @@ overlapping chunks that cover the whole document, a hidden layer turns each chun
 features, these are max-pooled over the chunks and combined into one probability.
 """
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +52,7 @@ class ByteNet:
     base: np.ndarray     # 1
 
     @staticmethod
-    def fresh(seed: int = 7, depth: int = 6, filters: int = 32, hidden: int = 16) -> ByteNet:
+    def fresh(seed: int = 7, depth: int = 6, filters: int = 32, hidden: int = 16) -> "ByteNet":
         draw = np.random.default_rng(seed)
         return ByteNet(*[x.astype(np.float32) for x in (
             draw.normal(0, 0.5, (256, depth)), draw.normal(0, (WIDTH * depth) ** -0.5, (WIDTH * depth, filters)),
@@ -136,7 +135,7 @@ class ByteNet:
 
 
 def train(texts: list[bytes], labels: list[int], epochs: int = 6, rate: float = 0.01, batch: int = 16,
-          seed: int = 7) -> ByteNet | None:
+          seed: int = 7) -> "ByteNet | None":
     """Adam over small batches, the classes weighed alike by the square root of their counts."""
     if not texts:
         return None
@@ -165,7 +164,7 @@ def train(texts: list[bytes], labels: list[int], epochs: int = 6, rate: float =
 
 def fit(docs: DataFrame, labels: DataFrame, use: Column | None = None, most_rows: int = 3000,
         most_bytes: int = 200_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        epochs: int = 6) -> ByteNet | None:
+        epochs: int = 6) -> "ByteNet | None":
     """Learn from at most ``most_rows`` labelled texts of at most ``most_bytes`` bytes each.
 
     ``use``, over the labels' id, says which labels may be learned from. The sample is the rows
@@ -192,9 +191,7 @@ def add_score(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text
     at = docs.columns.index(text_col)
 
     @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             texts = pa.array(batch, pa.string(), from_pandas=True)
             if net is None:

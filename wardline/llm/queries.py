@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import byte_cnn, sql
+from wardline.llm import byte_cnn, quality_rules, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
 from wardline.llm.token_files import token_table
@@ -35,6 +35,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(table(spark, folder, "documents"), "doc_id", "text")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, folder, "labels")))
+
+
 @query
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_table(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))

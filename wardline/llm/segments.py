@@ -8,12 +8,14 @@ Encoding the distinct segments of a batch therefore encodes the batch.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
+#: Bytes hashed at a time.
+PART_BYTES = 2 << 20
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -61,8 +63,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, n: int) -> np.ndarray:
     held = _POWERS.get(base)
     if held is None or len(held) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        held = np.full(size, base, np.uint64)
+        held = np.full(n + n // 8, base, np.uint64)
         held[0] = 1
         _POWERS[base] = held = np.multiply.accumulate(held)
     return held[:n]
@@ -96,7 +97,9 @@ class Memo:
     from the segments of the current slice, so its memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 1_000_000, kind=np.int32):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000,
+                 kind=np.int32):
+        """``encode`` returns the results of a list of segments end to end, and the size of each."""
         self.encode, self.most, self.kind = encode, most, kind
         self.clear()
 
@@ -117,9 +120,20 @@ class Memo:
         ``starts``: where segments start, text starts included; by default at white space.
         """
         starts = segment_starts(flat, offsets) if starts is None else starts
-        ends = np.append(starts[1:], len(flat))
+        ends, found, at = np.append(starts[1:], len(flat)), [np.zeros(0, self.kind)], 0
+        sizes = np.zeros(len(starts), np.int64)
+        while at < len(starts):
+            # a part of a long text at a time, so that the sums over its bytes stay small
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + PART_BYTES, side="right")))
+            low = starts[at]
+            values, sizes[at:to] = self._part(flat[low:ends[to - 1]], starts[at:to] - low, ends[at:to] - low)
+            found.append(values)
+            at = to
+        return np.concatenate(found), np.append(0, np.cumsum(sizes))[np.searchsorted(starts, offsets)]
+
+    def _part(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         coded, keys = pd.factorize(range_hashes(flat, starts, ends))
-        if len(self.keys) + len(keys) > 2 * self.most:
+        if len(self.keys) + len(keys) > self.most:
             self.clear()
         rows = self._find(keys)
         new = np.flatnonzero(rows < 0)
@@ -127,15 +141,16 @@ class Memo:
             first = np.zeros(len(keys), np.int64)
             first[coded[::-1]] = np.arange(len(coded) - 1, -1, -1)
             data = flat.tobytes()
-            found = self.encode([data[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            values, sizes = self.encode(
+                [data[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             rows[new] = len(self.offsets) - 1 + np.arange(len(new))
-            self.offsets = np.append(self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in found]))
-            self.values = np.append(self.values, np.fromiter(chain.from_iterable(found), self.kind))
+            self.offsets = np.append(self.offsets, self.offsets[-1] + np.cumsum(sizes))
+            self.values = np.append(self.values, values)
             every, order = np.append(self.keys, keys[new]), np.append(self.rows, rows[new])
             by_key = np.argsort(every)
             self.keys, self.rows = every[by_key], order[by_key]
-        ids, at = ragged(self.offsets, self.values, rows[coded])
-        return ids, at[np.searchsorted(starts, offsets)]
+        picked, at = ragged(self.offsets, self.values, rows[coded])
+        return picked, np.diff(at)
 
 
 def slices(texts: pa.Array, most: int = 8 << 20):

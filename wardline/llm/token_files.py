@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ class WordEncoder:
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
     _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.library, self.most = Tokenizer.from_file(path), most
@@ -61,7 +62,7 @@ class WordEncoder:
             ids = self.words[word] = [t.id for t in self.model.tokenize(as_letters)]
         return ids
 
-    def __call__(self, segments: list[bytes]) -> list[list[int]]:
+    def __call__(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words) > self.most:
             self.words.clear()
         out = []
@@ -72,7 +73,7 @@ class WordEncoder:
                 out.append(self.word(found[0]) if len(found) == 1 else [i for w in found for i in self.word(w)])
             else:
                 out.append(self.library.encode(text, add_special_tokens=False).ids)
-        return out
+        return np.fromiter(chain.from_iterable(out), np.int32), np.array([len(x) for x in out], np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -138,7 +139,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
 
         for batch in batches:
             texts, keys = batch.column(1), batch.column(0).to_pylist()
-            for a, b in slices(texts, 4 << 20):
+            for a, b in slices(texts, 2 << 20):
                 ids, offsets = memo(*utf8_bytes(texts.slice(a, b - a)))
                 for k in range(b - a):
                     own = np.append(ids[offsets[k]:offsets[k + 1]], end_id).astype(np.uint32)
