@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from wardline.llm import byte_cnn, quality_rules, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
+from wardline.llm.line_dedup import dedup_lines
+from wardline.llm.source_mix import mix_sources
 from wardline.llm.token_files import token_table
 from wardline.llm.url_filter import judge_urls
 
@@ -63,6 +65,19 @@ def op5_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """All sources at equal weights."""
+    mixed = mix_sources(pick(table(spark, folder, "documents"), "doc_id", "source"))
+    return mixed.select("doc_id", "source", "block", "phase", "position", "place")
+
+
+@query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pick(table(spark, folder, "documents"), "doc_id", "text")
+    return dedup_lines(docs, removed_col="n_removed").select("doc_id", "text", "n_removed")
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers

@@ -20,3 +20,20 @@ fitting AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM urls LEFT JOIN (SELECT * FROM fitting WHERE place = 1) USING (page_id)
 """
+
+ORACLES["op7_line_dedup"] = r"""
+WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+starts AS (SELECT doc_id, l, unnest(range(0, greatest(len(l) - 2, 0))) AS line FROM lines),
+windows AS (
+  SELECT doc_id, line, l[line + 1] AS a, l[line + 2] AS b, l[line + 3] AS c FROM starts
+  WHERE regexp_matches(l[line + 1] || l[line + 2] || l[line + 3], '[^\x20\x09-\x0D]')),
+later AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, line) AS n FROM windows),
+gone AS (
+  SELECT doc_id, list_distinct(flatten(list([line, line + 1, line + 2]))) AS g FROM later WHERE n > 1 GROUP BY doc_id)
+SELECT doc_id, CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(
+    list_filter(list_transform(range(0, len(l)), lambda i: CASE WHEN list_contains(g, i) THEN NULL ELSE l[i + 1] END),
+      lambda x: x IS NOT NULL), chr(10)), '') END AS text,
+  CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed
+FROM documents JOIN lines USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
