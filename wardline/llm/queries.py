@@ -9,6 +9,7 @@ from wardline.llm import byte_cnn, quality_rules, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
 from wardline.llm.line_dedup import dedup_lines
+from wardline.llm.minhash import Plan, near_duplicates
 from wardline.llm.source_mix import mix_sources
 from wardline.llm.token_files import token_table
 from wardline.llm.url_filter import judge_urls
@@ -89,6 +90,12 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles of four words."""
+    return near_duplicates(table(spark, folder, "documents"), Plan(words=4))
+
+
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = pick(table(spark, folder, "pages"), "page_id", "url")
