@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardline.llm import byte_cnn, quality_rules, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
+from wardline.llm.embed_dedup import link_embeddings
 from wardline.llm.line_dedup import dedup_lines
 from wardline.llm.minhash import Plan, near_duplicates
 from wardline.llm.source_mix import mix_sources
@@ -57,6 +58,11 @@ def id_remainder():
     return F.crc32(F.col("doc_id").cast("string")) % 3
 
 
+@query
+def op4_embed_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return link_embeddings(table(spark, folder, "embeddings"))
+
+
 @query
 def op5_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     docs = pick(table(spark, folder, "documents"), "doc_id", "text")

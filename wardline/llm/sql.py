@@ -37,3 +37,21 @@ SELECT doc_id, CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(
   CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed
 FROM documents JOIN lines USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
+
+ORACLES["op4_embed_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (
+  SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION SELECT node, v FROM reached JOIN links ON u = other)
+SELECT node AS vec_id, (SELECT count(*) FROM links WHERE u = node) AS n_links,
+  min(other) AS component_id, node = min(other) AS kept
+FROM reached GROUP BY node
+"""
