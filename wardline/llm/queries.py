@@ -12,6 +12,7 @@ from wardline.llm.embed_dedup import link_embeddings
 from wardline.llm.line_dedup import dedup_lines
 from wardline.llm.minhash import Plan, near_duplicates
 from wardline.llm.source_mix import mix_sources
+from wardline.llm.suffix_dedup import remove_repeats
 from wardline.llm.token_files import token_table
 from wardline.llm.url_filter import judge_urls
 
@@ -39,6 +40,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = pick(table(spark, folder, "documents"), "doc_id", "text")
