@@ -1,17 +1,79 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents: filter, clean, thin, mix and encode.
+
+Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame;
+all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardline.llm import byte_cnn
+from wardline.llm.byte_bpe import encode_decode
+from wardline.llm.line_dedup import dedup_lines
+from wardline.llm.minhash import near_duplicates
+from wardline.llm.queries import HELD_OUT, id_remainder, tokenizer_file
+from wardline.llm.source_mix import mix_sources
+from wardline.session import cut_lineage
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte network, fitted on labels that are not held out, takes for good."""
+    net = byte_cnn.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), id_remainder() != HELD_OUT)
+    return byte_cnn.add_score(docs, net, score_col="_score").where("_score >= 0.5").select(*COLUMNS)
+
+
+def drop_seen_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the windows of three lines seen before; a text all of whose lines go is gone."""
+    cleaned = dedup_lines(docs, removed_col="_removed")
+    changed = F.col("_removed") > 0
+    length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.where(~changed | (F.col("text") != "")).withColumn("n_chars", length).select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each near-duplicate component."""
+    judged = near_duplicates(docs)
+    dropped = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, written in the order of a mix of equally weighted sources."""
+    return cut_lineage(mix_sources(docs)).orderBy("position", "place").select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, and whether they decode to its bytes again."""
+    import public_tokenizers
+
+    rows = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    coded = encode_decode(rows, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                          extra=("lang", "source", "_sha"))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                        (F.sha2("decoded", 256) == F.col("_sha")).alias("lossless"))
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_seen_lines),
+    ("MinHash near-dedup", keep_one_of_each),
+    ("mixing sources", mix),
+    ("byte-level BPE", encode),
+]
 
-#: No SQL expresses a trained classifier.
+#: No SQL expresses a trained network; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = cut_lineage(docs)
     return docs
