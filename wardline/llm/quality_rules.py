@@ -216,10 +216,13 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column | None = None, most_rows
     known = known.where(use) if use is not None else known
     few = known.dropDuplicates([id_col]).orderBy(F.xxhash64(id_col), id_col).limit(most_rows)
     some = pick(docs, id_col, text_col).join(F.broadcast(few), id_col)
-    counted = statistics(some, id_col, text_col, (label_col,)).where(~base_failed())
-    rows = counted.select(id_col, F.pmod(F.xxhash64(F.lit(1), id_col), F.lit(3)).alias("_part"),
-                          (F.col(label_col) == 1).alias("_label"), *FEATURES).orderBy(id_col, *FEATURES).collect()
-    return learn([r.asDict() for r in rows])
+    # the base limits are applied to the collected rows: as a filter they would move below the
+    # join and be computed for every document
+    counted = statistics(some, id_col, text_col, (label_col,)).withColumn("_failed", base_failed())
+    rows = counted.select(
+        id_col, F.pmod(F.xxhash64(F.lit(1), id_col), F.lit(3)).alias("_part"), "_failed",
+        (F.col(label_col) == 1).alias("_label"), *FEATURES).collect()
+    return learn(sorted((r.asDict() for r in rows if not r["_failed"]), key=lambda r: [r[c] for c in (id_col, *FEATURES)]))
 
 
 def judge(docs: DataFrame, rules: DecisionList, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
