@@ -81,7 +81,7 @@ def test_auc_over_ranges(spark):
         expected.append(sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / len(pos) / len(neg))
     assert found == pytest.approx(sum(expected) / 3)
     missing = df.where("y <> 2")
-    assert metrics.auc_ovr(missing, ["p0", "p1", "p2"]).first()["auc_ovr"] == 0.0
+    assert metrics.auc_ovr(missing, ["p0", "p1", "p2"]).first()["auc_ovr"] is None
 
 
 def test_ordinal_codes_over_ranges(spark):
@@ -262,14 +262,31 @@ def test_tree_contributions_are_shapley_values(spark):
     assert base == pytest.approx(value(x[0], set()))
 
 
-def test_wide_interactions_agree(spark, monkeypatch):
+def test_interactions_skip_missing_factors_at_any_width(spark):
     df, _ = numbers(spark, 200)
-    df = df.fillna(0.0)
-    narrow = features.interaction_top_k(df, ["id", "x", "y"], 3)
-    monkeypatch.setattr(features, "WIDE_PAIRS", 0)
-    wide = features.interaction_top_k(df, ["id", "x", "y"], 3)
-    assert [w[:2] for w in wide] == [n[:2] for n in narrow]
-    assert [w[2] for w in wide] == pytest.approx([n[2] for n in narrow])
+    names = [f"c{i}" for i in range(24)]
+    wide = df.select("id", *[F.when(F.col("id") % (i + 3) != 0, F.col("x") * (i + 1)).alias(c) for i, c in enumerate(names)])
+    table = wide.toPandas()
+    got = {(a, b): v for a, b, v in features.interaction_top_k(wide, names, 400)}
+    assert len(got) == 24 * 23 // 2
+    for (a, b), v in got.items():
+        assert v == pytest.approx((table[a] * table[b]).var(), nan_ok=True)
+
+
+@pytest.mark.parametrize("labels", [["a", "b", None], [0, 1, None]])
+def test_missing_labels_are_a_class(spark, labels):
+    kind = "string" if isinstance(labels[0], str) else "int"
+    rows = [(i, labels[i % 3] if i % 2 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, f"id long, label {kind}")
+    split = sampling.stratified_split(df, "label", "id", bucket_rows=50)
+    got = {(r["label"], r["split"]): r["n"] for r in split.groupBy("label", "split").agg(F.count("*").alias("n")).collect()}
+    assert got == {(labels[0], "val"): 15, (labels[0], "train"): 85, (labels[1], "val"): 15, (labels[1], "train"): 85,
+                   (None, "val"): 60, (None, "train"): 340}
+    folds = sampling.stratified_kfold(df, "label", "id", 5, bucket_rows=50).where("label IS NULL").groupBy("fold").count()
+    assert {r["fold"]: r["count"] for r in folds.collect()} == dict.fromkeys(range(5), 80)
+    under = resample.random_under(df, "label", "id").groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in under} == dict.fromkeys(labels, 100)
+    assert resample.random_under(df, "label", "id", {labels[0]: 7}).where("label IS NULL").count() == 400
 
 
 def test_sample_is_the_smallest_hashes(spark):

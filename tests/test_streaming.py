@@ -28,9 +28,9 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     write(spark, source, [0, 1, 600])
     assert run(spark, source, checkpoint) == {0: 2, 10: 1}
     write(spark, source, [601])
-    assert run(spark, source, checkpoint) == {10: 2}
+    assert run(spark, source, checkpoint) == {0: 2, 10: 2}  # resumed: earlier windows stay
     write(spark, source, [2, 602])
-    assert run(spark, source, checkpoint) == {10: 3}
+    assert run(spark, source, checkpoint) == {0: 2, 10: 3}
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
@@ -47,6 +47,12 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     # A new checkpoint numbers the same batches from 0 again.
     incremental.stream_incremental_train(spark, stream(), first, "y", state, str(tmp_path / "c2"))
     assert first.weights == model.weights and first.steps == 2
+    # A restart with a fresh model goes on from the stored one.
+    rows.limit(8).write.mode("append").parquet(path)
+    again = incremental.stream_incremental_train(
+        spark, stream(), incremental.SgdLogistic(2, 2, 0.5), "y", state, str(tmp_path / "c1"))
+    assert again.steps == incremental.restore(spark, state).steps > 2
+    assert incremental.restore(spark, str(tmp_path / "none")) is None
 
 
 def test_gradient_matches_the_formula(spark):

@@ -20,12 +20,10 @@ from wardline.operators.ordering import hash_rank
 from wardline.operators.sampling import sample_without_replacement
 from wardline.session import cut_lineage, scratch_path, spread
 
-# Sample sizes of the explanation methods.
-TREE_ROWS = 2000
-SAMPLED_ROWS = 500
+# Draws of the explanation methods. All rows are explained unless ``max_rows`` asks
+# for a sample.
 BACKGROUND_ROWS = 100
 COALITIONS = 100
-PERMUTATION_ROWS = 20_000
 REPEATS = 5
 TARGET_CLASS = 1
 # Leaves handled in one pass over the rows; larger models take several passes.
@@ -99,7 +97,7 @@ def _contributions(x: np.ndarray, leaves: list[dict], width: int) -> np.ndarray:
 
 
 def shap_tree(model, df: DataFrame, id_col: str, feature_names: list[str], class_index: int = TARGET_CLASS,
-              max_rows: int | None = TREE_ROWS, leaves_per_pass: int = LEAVES_PER_PASS) -> tuple[DataFrame, float]:
+              max_rows: int | None = None, leaves_per_pass: int = LEAVES_PER_PASS) -> tuple[DataFrame, float]:
     """(id, feature, phi) for a forest (class probability) or one boosted model (margin), and the base value."""
     spark = df.sparkSession
     weights = [float(w) for w in model.treeWeights] if type(model).__name__.startswith("GBT") else []
@@ -133,7 +131,7 @@ def _score_column(predicted: DataFrame, class_index: int):
 
 
 def shap_sampling(model, df: DataFrame, background: DataFrame, id_col: str, feature_names: list[str],
-                  class_index: int = TARGET_CLASS, max_rows: int | None = SAMPLED_ROWS, samples: int = COALITIONS,
+                  class_index: int = TARGET_CLASS, max_rows: int | None = None, samples: int = COALITIONS,
                   background_rows: int = BACKGROUND_ROWS, seed=SEED) -> DataFrame:
     """(id, feature, phi, p_row, p_background) for any model.
 
@@ -181,7 +179,7 @@ def mean_absolute(contributions: DataFrame) -> DataFrame:
 # --- permutation -----------------------------------------------------------------------
 
 def permutation_importance(model, df: DataFrame, id_col: str, feature_names: list[str], k: int = 3, label_col: str | None = None,
-                           repeats: int = REPEATS, max_rows: int | None = PERMUTATION_ROWS, seed=SEED) -> DataFrame:
+                           repeats: int = REPEATS, max_rows: int | None = None, seed=SEED) -> DataFrame:
     """(feature, importance, std): fall of macro F1 when one feature is permuted.
 
     Truth is the model's own prediction unless ``label_col`` is given. A permutation joins

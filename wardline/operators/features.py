@@ -8,9 +8,8 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSizeHint
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,6 @@ MIN_SAMPLES_LEAF = 20.0
 TOP_INTERACTIONS = 100
 MI_BINS = 10
 STATE_VERSION = 1
-WIDE_PAIRS = 200
 
 
 # --- scaling -------------------------------------------------------------------
@@ -126,19 +124,16 @@ def pairwise_products(df: DataFrame, cols: list[str], keep: list[str]) -> DataFr
 def interaction_variances(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float]:
     """Sample variance of every pairwise product in one pass.
 
-    Many products go through one array and a vector summary instead of a projection
-    too wide for generated code.
+    The products of a row are unfolded and combined before the shuffle, so the plan is the
+    same for any number of columns. A product with a missing factor is left out.
     """
     pairs = list(itertools.combinations(cols, 2))
     if not pairs:
         return {}
-    products = [_or_zero(df, a) * _or_zero(df, b) for a, b in pairs]
-    if len(pairs) <= WIDE_PAIRS:
-        row = df.agg(*[F.var_samp(p).alias(f"v{i}") for i, p in enumerate(products)]).first()
-        return {pair: row[f"v{i}"] or 0.0 for i, pair in enumerate(pairs)}
-    vector = array_to_vector(F.array(*products))
-    row = df.select(vector.alias("v")).agg(Summarizer.variance(F.col("v")).alias("v")).first()
-    return dict(zip(pairs, [float(v) for v in row["v"]]))
+    products = F.array(*[_or_zero(df, a) * _or_zero(df, b) for a, b in pairs])
+    rows = df.select(F.posexplode(products).alias("i", "p")).groupBy("i").agg(F.var_samp("p").alias("v")).collect()
+    found = {r["i"]: r["v"] or 0.0 for r in rows}
+    return {pair: found.get(i, 0.0) for i, pair in enumerate(pairs)}
 
 
 def interaction_top_k(df: DataFrame, cols: list[str], k: int = TOP_INTERACTIONS, id_col: str | None = None,
@@ -266,9 +261,9 @@ class FeatureModel:
         return list(dict.fromkeys([*self.base_columns(), *self.interaction_columns()]))
 
     def feature_names(self) -> list[str]:
-        if self.pca or self.selected is not None:
-            return self.scalar_columns()
         text = [f"tfidf_{i}" for i in range(self.vocabulary_size)]
+        if self.pca or self.selected is not None:
+            return [*self.scalar_columns(), *text]
         return list(dict.fromkeys([*self.base_columns(), *text, *self.interaction_columns()]))
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -109,10 +109,10 @@ def auc_per_class(df: DataFrame, prob_cols: list[str], y: str = "y", small_rows:
 
 
 def auc_ovr(df: DataFrame, prob_cols: list[str], y: str = "y", small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mean of the one-vs-rest AUCs; 0 unless every class occurs."""
+    """Mean of the one-vs-rest AUCs; NULL unless every class occurs."""
     table = auc_per_class(df, prob_cols, y, small_rows)
     complete = F.count("auc") == len(prob_cols)
-    return table.agg(F.when(complete, F.avg("auc")).otherwise(F.lit(0.0)).alias("auc_ovr"))
+    return table.agg(F.when(complete, F.avg("auc")).alias("auc_ovr"))
 
 
 def label_distribution(before: DataFrame, after: DataFrame, label_col: str) -> DataFrame:
@@ -142,7 +142,8 @@ def compute_metrics(df: DataFrame, k: int, prob_cols: list[str] | None = None, y
         out.append(f1_of_class(df, k, MALICIOUS, y, pred).select(F.lit("f1_malicious").alias("metric"), F.col("f1_malicious").alias("value")))
     if prob_cols and len(prob_cols) == k:
         auc = auc_ovr(df, prob_cols, y)
-        out.append(auc.select(F.lit("auc_ovr").alias("metric"), F.col("auc_ovr").alias("value")))
+        # no entry where it is not defined
+        out.append(auc.where("auc_ovr IS NOT NULL").select(F.lit("auc_ovr").alias("metric"), F.col("auc_ovr").alias("value")))
     return reduce(DataFrame.unionByName, out)
 
 

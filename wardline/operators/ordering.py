@@ -171,20 +171,18 @@ def hash_cutoffs(df: DataFrame, class_col: str, id_col: str, ranks: dict, seed=S
     keyed = with_hash(df.select(id_col, class_col), id_col, seed)
     digits = hex_digits_for(df.count() if rows is None else rows, bucket_rows)
     bucket = F.substring("__hash", 1, digits)
-    # At most 16^MAX_HEX buckets per class.
-    counts = (
-        keyed.groupBy(F.col(class_col).alias("c"), bucket.alias("b")).agg(F.count("*").alias("n"))
-        .toPandas().sort_values(["c", "b"])
-    )
+    # At most 16^MAX_HEX buckets per class; NULL is a class like any other.
+    counts: dict = {}
+    for r in keyed.groupBy(F.col(class_col).alias("c"), bucket.alias("b")).agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r["c"], []).append((r["b"], r["n"]))
     wanted = []
-    for label, part in counts.groupby("c"):
-        reach = part["n"].cumsum()
-        for rank in ranks.get(label, []):
-            hit = (reach >= rank).values
-            if not hit.any():
-                continue
-            at = int(hit.argmax())
-            wanted.append((label, part["b"].iloc[at], rank, int(rank - (reach.iloc[at] - part["n"].iloc[at]))))
+    for label, buckets in counts.items():
+        before, open_ranks = 0, list(ranks.get(label, []))
+        for name, n in sorted(buckets, key=lambda b: (b[0] is not None, b[0])):
+            while open_ranks and open_ranks[0] <= before + n:
+                rank = open_ranks.pop(0)
+                wanted.append((label, name, rank, rank - before))
+            before += n
     if not wanted:
         return {}
     spark = df.sparkSession
@@ -192,10 +190,13 @@ def hash_cutoffs(df: DataFrame, class_col: str, id_col: str, ranks: dict, seed=S
     schema = f"c {label_type}, b string, rank bigint, local_rank bigint"
     targets = spark.createDataFrame(wanted, schema)
     places = keyed.select(F.col(class_col).alias("c"), bucket.alias("b"), "__hash", F.col(id_col).alias("id"))
-    places = places.join(F.broadcast(targets.select("c", "b").distinct()), ["c", "b"], "left_semi")
+    targets = targets.select(F.col("c").alias("tc"), F.col("b").alias("tb"), "rank", F.col("local_rank").alias("tl"))
+    same = F.col("c").eqNullSafe(F.col("tc")) & F.col("b").eqNullSafe(F.col("tb"))
+    places = places.join(F.broadcast(targets.select("tc", "tb").distinct()), same, "left_semi")
     order = Window.partitionBy("c", "b").orderBy("__hash", "id")
     ranked = places.withColumn("local_rank", F.row_number().over(order).cast("bigint"))
-    rows = ranked.join(F.broadcast(targets), ["c", "b", "local_rank"]).select("c", "rank", "__hash", "id").collect()
+    hit = same & (F.col("local_rank") == F.col("tl"))
+    rows = ranked.join(F.broadcast(targets), hit).select("c", "rank", "__hash", "id").collect()
     return {(r["c"], r["rank"]): (r["__hash"], r["id"]) for r in rows}
 
 

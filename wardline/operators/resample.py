@@ -53,8 +53,8 @@ def random_under(df: DataFrame, label_col: str, id_col: str, targets: dict | Non
     quotas.update({c: n for c, n in counts.items() if c not in quotas})
     quotas_needed = {c: q for c, q in quotas.items() if q < counts[c]}
     inside = keep_first(df, label_col, id_col, quotas_needed, seed, rows=sum(counts.values()))
-    untouched = F.col(label_col).isin([c for c in counts if c not in quotas_needed])
-    return with_hash(df, id_col, seed).where(untouched | inside).drop("__hash")
+    cut = reduce(lambda a, b: a | b, [F.col(label_col).eqNullSafe(F.lit(c)) for c in quotas_needed], F.lit(False))
+    return with_hash(df, id_col, seed).where(~cut | inside).drop("__hash")
 
 
 def random_over(df: DataFrame, label_col: str, id_col: str, targets: dict | None = None, seed=SEED) -> DataFrame:

@@ -68,7 +68,7 @@ def write_importance(df: DataFrame, path: str, top_n: int = 30) -> None:
     """Full table as CSV plus its top features as JSON records, taken from the written table."""
     from wardline.operators.metrics import top_features
 
-    table = df.select("feature", "importance")
+    table = df.select("feature", "importance", *[c for c in ("std",) if c in df.columns])
     write_csv(table, f"{path}/full")
     written = read_csv(df.sparkSession, f"{path}/full", table.schema)
     top_features(written, top_n).write.json(f"{path}/top")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.ipfeat import ip_activity_windows
-from wardline.session import scratch_path
 
 
 def with_event_time(df: DataFrame, ts_col: str) -> DataFrame:
@@ -22,13 +21,16 @@ def windowed_activity(stream: DataFrame, ts_col: str, width: str = "1 hour", sli
 
 
 def run_activity(spark: SparkSession, stream: DataFrame, ts_col: str, checkpoint: str, width: str = "1 hour",
-                 slide: str | None = None, watermark: str = "1 hour") -> DataFrame:
-    """Run over the available input and return the latest value of every window.
+                 slide: str | None = None, watermark: str = "1 hour", path: str | None = None) -> DataFrame:
+    """Run over the available input and return the latest value of every window since the first run.
+
+    ``path`` holds the results and belongs to the checkpoint: a resumed query gives the same
+    one. By default it lies beside the checkpoint.
 
     Update mode emits a window whenever it changes; each micro-batch is stored under its
     number, so a replay overwrites itself, and the newest version of a window wins.
     """
-    out = scratch_path(spark, "activity")
+    out = path or checkpoint.rstrip("/") + "-windows"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")

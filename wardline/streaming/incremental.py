@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from wardline.functions import arrays
 from wardline.operators.models import Classifier, Fitted
 from wardline.operators.sampling import shuffle_batches
 from wardline.session import cut_lineage
-from wardline.sources.state import load_meta, save_meta
+from wardline.sources.state import save_meta
 
 BATCH_SIZE = 1000
 EPOCHS = 5
@@ -116,20 +118,33 @@ def stream_incremental_train(spark: SparkSession, stream: DataFrame, model: SgdL
                              checkpoint: str) -> SgdLogistic:
     """Every micro-batch updates the model once.
 
-    Weights and batch number are stored together, so a replayed batch is recognised and skipped.
+    Weights and batch number are stored together under the number of the batch, so a replayed
+    batch is recognised and skipped, a restart goes on from the newest stored model, and a
+    crash while storing leaves the model before it.
     """
+    stored = restore(spark, state_path)
+    if stored is not None and stored.last_batch > model.last_batch:
+        model.__dict__.update(stored.__dict__)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= model.last_batch:
             return
         model.partial_fit(batch, label_col)
         model.last_batch = batch_id
-        save_meta(spark, state_path, model.__dict__)
+        save_meta(spark, f"{state_path}/batch={batch_id}", model.__dict__)
 
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return model
 
 
-def restore(spark: SparkSession, state_path: str) -> SgdLogistic:
-    return SgdLogistic(**load_meta(spark, state_path))
+def restore(spark: SparkSession, state_path: str) -> SgdLogistic | None:
+    """The newest stored model, or None where none is stored yet."""
+    try:
+        states = spark.read.option("basePath", state_path).text(f"{state_path}/batch=*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = states.orderBy(F.col("batch").cast("bigint").desc()).first()
+    return SgdLogistic(**json.loads(newest["value"])) if newest else None
