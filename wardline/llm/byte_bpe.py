@@ -20,7 +20,7 @@ from wardline.llm.base import pick
 from wardline.llm.segments import Memo, slices, utf8_bytes
 
 #: Words in one recursive query.
-WORDS = 10_000
+WORDS = 30_000
 
 #: What rank-file libraries take for white space, written out because engines differ.
 _SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -66,8 +66,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class DuckBpe:
     """Encoder and decoder of one rank file, with memos of the segments met by this worker."""
 
-    def __init__(self, path: str, pattern: str, most_words: int = 1_000_000,
-                 most_segments: int = 400_000):
+    def __init__(self, path: str, pattern: str, most_words: int = 2_000_000,
+                 most_segments: int = 1_200_000):
         import duckdb
         import regex
 
@@ -81,7 +81,7 @@ class DuckBpe:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "96MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self._table("given", l=left, r=right, rank=merged)
         self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
         # a piece is text with one character per byte: any bytes are valid there
@@ -176,7 +176,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         bpe = worker_bpe(path, pattern)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            for a, b in slices(texts, 2 << 20):
+            for a, b in slices(texts, 4 << 20):
                 ids, at = bpe.encode(texts.slice(a, b - a))
                 data, ends = bpe.decode(ids, at)
                 yield pa.RecordBatch.from_arrays([

@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 
 #: Bytes hashed at a time.
-PART_BYTES = 2 << 20
+PART_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -146,9 +146,9 @@ class Memo:
             rows[new] = len(self.offsets) - 1 + np.arange(len(new))
             self.offsets = np.append(self.offsets, self.offsets[-1] + np.cumsum(sizes))
             self.values = np.append(self.values, values)
-            every, order = np.append(self.keys, keys[new]), np.append(self.rows, rows[new])
-            by_key = np.argsort(every)
-            self.keys, self.rows = every[by_key], order[by_key]
+            by_key = new[np.argsort(keys[new])]
+            at = np.searchsorted(self.keys, keys[by_key])
+            self.keys, self.rows = np.insert(self.keys, at, keys[by_key]), np.insert(self.rows, at, rows[by_key])
         picked, at = ragged(self.offsets, self.values, rows[coded])
         return picked, np.diff(at)
 
