@@ -267,27 +267,34 @@ class FeatureModel:
         return list(dict.fromkeys([*self.base_columns(), *text, *self.interaction_columns()]))
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        """Scalar feature columns by name plus the sparse text arrays; rows are joined by id."""
+        """Scalar feature columns by name plus the sparse text arrays.
+
+        The arrays are made in the row, so only they and the encoded columns go through the
+        lookups, never the text.
+        """
         kept = [c for c in [self.id_col, *(keep or [])] if c in df.columns]
-        out = df
+        used = [c for c in dict.fromkeys([*kept, *self.base_columns()]) if c in df.columns]
+        text = []
+        if self.vocabulary is not None:
+            column = textfeat.tfidf_column(self.vocabulary, F.col(self.text_col), **self.text_options)
+            df = df.select(*used, column.alias("__tfidf")).select(*used, "__tfidf.indices", "__tfidf.weights")
+            text = ["indices", "weights"]
+        out = df.select(*used, *text)
         for c, (table, default) in self.encoders.items():
             out = encode_values(out, c, table, default)
         for c, values in self.low_card.items():
             out = encode_values(out, c, low_card_table(df.sparkSession, values), -1.0, small=True)
         out = out.select(
-            *kept, *[scaled(out, c, s) for c, s in self.scaler.items()],
+            *kept, *text, *[scaled(out, c, s) for c, s in self.scaler.items()],
             *[prep.coerce_numeric(F.col(c)).alias(c) for c in [*self.encoders, *self.low_card]],
         )
         products = [(_or_zero(out, a) * _or_zero(out, b)).alias(interaction_name(a, b)) for a, b in self.interactions]
         out = out.select("*", *products)
         if self.selected is not None:
-            out = select_columns(out, self.selected, kept)
+            out = select_columns(out, self.selected, [*kept, *text])
         if self.pca:
-            out = pca_project(out, self.pca["columns"], self.pca["means"], np.array(self.pca["components"]), kept)
-        if self.vocabulary is not None:
-            text = textfeat.tfidf(df, self.vocabulary, self.id_col, self.text_col, **self.text_options)
-            out = out.join(text, self.id_col, "left")
-        return out
+            out = pca_project(out, self.pca["columns"], self.pca["means"], np.array(self.pca["components"]), [*kept, *text])
+        return out.select(*[c for c in out.columns if c not in text], *text)
 
     def assemble(self, features: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """One vector per row; text stays sparse inside it."""

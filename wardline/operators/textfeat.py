@@ -1,7 +1,7 @@
 """TF-IDF over character or word n-grams of whole texts, kept sparse."""
 
-from __future__ import annotations
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +12,8 @@ from wardline.session import spread
 NGRAM_RANGE = (1, 4)
 MAX_FEATURES = 5000
 MIN_DF = 3
+# Words whose n-grams a worker remembers.
+MAX_WORDS = 200_000
 
 
 def grams(text: Column, analyzer: str = "char_wb", ngram_range=NGRAM_RANGE) -> Column:
@@ -65,35 +67,58 @@ def fit_vocabulary(df: DataFrame, text_col: str, analyzer: str = "char_wb", ngra
     return table.withColumn("idf", idf)
 
 
+def _row_weights(terms: dict[str, int], idf: np.ndarray, by_word: bool, low: int, high: int):
+    """Arrow function: array of words (or terms) -> sorted term ids and weights of the row."""
+    known: dict[str, list[int]] = {}
+
+    def ids_of(word: str) -> list[int]:
+        if not by_word:
+            return [terms[word]] if word in terms else []
+        found = known.get(word)
+        if found is None:
+            padded = f" {word} "
+            sizes = range(low, max(low, min(high, len(padded))) + 1)
+            cut = (padded[i:i + n] for n in sizes for i in range(max(len(padded) - n, 0) + 1))
+            if len(known) >= MAX_WORDS:
+                known.clear()
+            found = known[word] = [terms[g] for g in cut if g in terms]
+        return found
+
+    @F.pandas_udf("indices array<int>, weights array<double>")
+    def weigh(rows: pd.Series) -> pd.DataFrame:
+        indices, weights = [], []
+        for words in rows:
+            hits = [i for w in words for i in ids_of(w)] if words is not None else []
+            ids, times = np.unique(np.array(hits, np.int64), return_counts=True)
+            w = (np.log(times) + 1.0) * idf[ids]
+            norm = np.sqrt(np.dot(w, w))
+            indices.append(ids)
+            weights.append(w / norm if len(ids) else w)
+        return pd.DataFrame({"indices": indices, "weights": weights})
+
+    return weigh
+
+
+def tfidf_column(vocabulary: DataFrame, text: Column, analyzer: str = "char_wb", ngram_range=NGRAM_RANGE) -> Column:
+    """(indices, weights) of a text: sublinear tf times smooth idf, each row of length 1.
+
+    All that a row needs is in the row and the vocabulary of at most ``max_features`` terms, so
+    nothing is shuffled or joined and repeated ids do not matter; it works on a stream too. A
+    word fixes its n-grams, so each word is unfolded once per worker.
+    """
+    rows = vocabulary.select("term", "term_id", "idf").collect()
+    idf = np.zeros(len(rows))
+    for r in rows:
+        idf[r["term_id"]] = r["idf"]
+    weigh = _row_weights({r["term"]: r["term_id"] for r in rows}, idf, analyzer == "char_wb", *ngram_range)
+    return weigh(tx.words_by_space(text) if analyzer == "char_wb" else grams(text, analyzer, ngram_range))
+
+
 def tfidf(df: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str, analyzer: str = "char_wb",
           ngram_range=NGRAM_RANGE) -> DataFrame:
-    """(id, indices, weights): sublinear tf times smooth idf, each row of length 1.
-
-    The vocabulary has a fixed maximum size, so it is broadcast; rows are hashed by id
-    once, before the terms are unfolded, and that layout serves both aggregations.
-    """
-    placed = df.select(id_col, text_col).repartition(F.col(id_col))
-    if analyzer == "char_wb":
-        # A word fixes its n-grams, so each word of a row is unfolded once.
-        words = placed.select(id_col, F.explode_outer(tx.words_by_space(F.col(text_col))).alias("word"))
-        words = words.groupBy(id_col, "word").agg(F.count("*").alias("times"))
-        terms = words.select(id_col, "times", F.explode_outer(tx.grams_of_word(F.col("word"), *ngram_range)).alias("term"))
-    else:
-        unfolded = F.explode_outer(grams(F.col(text_col), analyzer, ngram_range)).alias("term")
-        terms = placed.select(id_col, F.lit(1).cast("bigint").alias("times"), unfolded)
-    terms = terms.join(F.broadcast(vocabulary.select("term", "term_id", "idf")), "term", "left")
-    weighed = (
-        terms.groupBy(id_col, "term_id", "idf").agg(F.sum(F.when(F.col("term_id").isNotNull(), F.col("times")).otherwise(0)).alias("n"))
-        .withColumn("w", F.when(F.col("n") > 0, (F.log(F.col("n").cast("double")) + 1.0) * F.col("idf")))
-    )
-    rows = weighed.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("term_id", "w")))).alias("terms"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-    )
-    return rows.select(
-        id_col, F.col("terms.term_id").alias("indices"),
-        F.transform("terms", lambda t: t["w"] / F.col("norm")).alias("weights"),
-    )
+    """(id, indices, weights) of every row."""
+    column = tfidf_column(vocabulary, F.col(text_col), analyzer, ngram_range)
+    return df.select(id_col, column.alias("__tfidf")).select(id_col, "__tfidf.indices", "__tfidf.weights")
 
 
 def tfidf_long(sparse: DataFrame, id_col: str) -> DataFrame:
