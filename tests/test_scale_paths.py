@@ -293,3 +293,17 @@ def test_sample_is_the_smallest_hashes(spark):
     df, rows = numbers(spark, 300)
     sample = sampling.sample_without_replacement(df, "id", 20)
     assert {r["id"] for r in sample.collect()} == {r["id"] for r in df.orderBy(hash_hex(42, F.col("id"))).limit(20).collect()}
+
+
+def test_rows_without_an_id_are_numbered_under_its_name(spark):
+    from wardline.operators import prep
+    from wardline.plans import lifecycle
+
+    df = spark.createDataFrame([(f"t{i}", float(i % 7), ["x", "y", None][i % 3]) for i in range(300)], "text string, v double, label string")
+    path, model = lifecycle.prepare(df.dropDuplicates(), ["evt_id"], ["text"], "label")
+    rows = spark.read.parquet(path)
+    assert sorted(r["evt_id"] for r in rows.select("evt_id").collect()) == list(range(300))
+    assert rows.where("split = 'val' AND label_idx = -1").count() == 15
+    alone = model.transform(df.drop("label"), has_label=False)
+    assert alone.columns[0] == "evt_id" and alone.select("evt_id").distinct().count() == 300
+    assert prep.fit_prep(df, [], ["text"], "label").transform(df).columns[0] == "event_id"

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest value table that is broadcast on purpose; others are left to adaptive execution.
 BROADCAST_ROWS = 10_000
 SALTS = 1024
+NARROW = (T.NumericType, T.DatetimeType, T.BooleanType)
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, defaults: dict, small: bool = False) -> DataFrame:
@@ -21,7 +23,9 @@ def lookup(df: DataFrame, table: DataFrame, key: str, defaults: dict, small: boo
     if small:
         joined = df.join(F.broadcast(right), df[key] == right["__key"], "left")
     else:
-        salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))).otherwise(-1)
+        # Narrow columns alone, so that a salt keeps no text alive.
+        narrow = [f.name for f in df.schema if isinstance(f.dataType, NARROW)] or df.columns
+        salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*narrow), F.lit(SALTS))).otherwise(-1)
         df = df.withColumn("__salt", salt)
         right = right.withColumn("__salt", F.lit(-1).cast("bigint"))
         joined = df.join(right, (df[key] == right["__key"]) & (df["__salt"] == right["__salt"]), "left")

@@ -123,13 +123,17 @@ def _select_ranks(numbers: DataFrame, wanted: dict[str, set[int]], small_rows: i
                 del open_ranks[key]
             else:
                 open_ranks[key] = (low, high)
-        for key, low, high, below in narrow:
-            counts = (
-                numbers.select(F.col(key[0]).alias("v")).where(F.col("v").between(low, high))
-                .groupBy("v").count().toPandas().sort_values("v")
-            )
-            reach = below + counts["count"].cumsum()
-            found[key] = float(counts["v"][reach > key[1]].iloc[0])
+        if narrow:
+            # All brackets in one scan; together they hold at most about small_rows distinct values.
+            inside = [
+                F.when(F.col(key[0]).between(low, high), F.struct(F.lit(i).alias("i"), F.col(key[0]).alias("v")))
+                for i, (key, low, high, _) in enumerate(narrow)
+            ]
+            unfolded = numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("e")).select("e.i", "e.v")
+            counts = unfolded.groupBy("i", "v").count().toPandas().sort_values(["i", "v"])
+            for i, (key, _, _, below) in enumerate(narrow):
+                part = counts[counts["i"] == i]
+                found[key] = float(part["v"][below + part["count"].cumsum() > key[1]].iloc[0])
     return found
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.operators import ordering
+from wardline.session import cut_lineage
 from wardline.sources.state import load_state, save_state
 
 MISSING_THRESHOLD = 0.6
@@ -174,8 +175,10 @@ class PrepModel:
         present = set(df.columns)
         out = [F.col(c) for c in [*self.id_cols, *self.text_cols, *keep] if c in present]
         if not any(c in present for c in self.id_cols):
-            df = ordering.dense_index(df, "event_id")
-            out.insert(0, F.col("event_id"))
+            # Numbers follow the scan, so the rows are pinned first: a retried task must not renumber them.
+            name = self.id_cols[0] if self.id_cols else "event_id"
+            df = ordering.dense_index(cut_lineage(df), name)
+            out.insert(0, F.col(name))
         if has_label and self.label_col in present:
             out.append(encode_label(F.col(self.label_col).cast("string"), self.labels).alias("label_idx"))
         for name in self.feature_order:

@@ -20,9 +20,12 @@ def prepare(df: DataFrame, id_cols, text_cols, label_col, val_size: float = samp
     """Split, fit and transform, written once as a table partitioned by split.
 
     Statistics come from the training side only; ``fit_on='all'`` uses every row. The input
-    is stored first, as the fits pass over it several times.
+    is stored first, as the fits pass over it several times. Rows without the first id column
+    are numbered under its name.
     """
     df = cut_lineage(df)
+    if id_cols[0] not in df.columns:
+        df = cut_lineage(ordering.dense_index(df, id_cols[0]))
     tagged = sampling.stratified_split(df, label_col, id_cols[0], val_size)
     basis = df if fit_on == "all" else tagged.where("split = 'train'").drop("split")
     model = prep.fit_prep(basis, id_cols, text_cols, label_col)
@@ -42,10 +45,10 @@ class Run:
 
 def train(df: DataFrame, id_cols, text_cols, label_col, names: list[str], params: dict[str, dict] | None = None,
           resample_method: str | None = None, feature_options: dict | None = None, stacking: bool = False,
-          stack_folds: int = ensemble.STACK_FOLDS) -> Run:
+          stack_folds: int = ensemble.STACK_FOLDS, fit_on: str = "train") -> Run:
     """Raw events to fitted preparation, features and models, with validation metrics per model."""
     spark = df.sparkSession
-    path, prep_model = prepare(files.dedup_rows(df), id_cols, text_cols, label_col)
+    path, prep_model = prepare(files.dedup_rows(df), id_cols, text_cols, label_col, fit_on=fit_on)
     rows = spark.read.parquet(path)
     train_rows, val_rows = rows.where("split = 'train'"), rows.where("split = 'val'")
     id_col, text_col = id_cols[0], text_cols[0] if text_cols else None
