@@ -34,7 +34,7 @@ class Plan:
     bands: int = 40
     rows: int = 6
     least_match: float = 0.66
-    block_docs: int = 4096
+    block_docs: int = 1024
     block_shingles: int = 2_000_000
     seed: int = 5
 
