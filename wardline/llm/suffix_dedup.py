@@ -359,7 +359,7 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = 4 << 20, most_buckets: in
     spark = docs.sparkSession
     rows = pick(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(
         F.col(text_col), F.lit("")).alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    total, count = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     batches = max(1, -(-total // batch_bytes))
     buckets = min(batches, most_buckets)
     # 64-bit remainders: the batch of an id is the same in every pass
@@ -367,7 +367,7 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = 4 << 20, most_buckets: in
     sent = texts.groupBy("batch").applyInArrow(_send_hashes(buckets), _SENT)
     shared = stored(sent.groupBy("bucket").applyInArrow(_shared_hashes, _SENT), "shared")
 
-    splitters = _splitters(texts, buckets)
+    splitters = _splitters(texts, buckets, count)
     around = texts.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(_send_surroundings(buckets, splitters), _SENT)
     masks = stored(around.groupBy("bucket").applyInArrow(_first_documents, _SENT), "masks")
 
@@ -377,11 +377,12 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = 4 << 20, most_buckets: in
     return cut.select(F.col("doc_id").alias(id_col), "n_bytes", "spans", "kept")
 
 
-def _splitters(texts: DataFrame, buckets: int, per_bucket: int = 16) -> list[bytes]:
+def _splitters(texts: DataFrame, buckets: int, count: int, per_bucket: int = 8, per_text: int = 4) -> list[bytes]:
     """Leading strings that cut the suffixes of a sample of texts into equal shares.
 
-    The sample is about ``per_bucket`` texts for each bucket, drawn by a hash of the row, of which
-    the anchors of the smallest hashes give their leading bytes: bounded by the number of buckets.
+    The sample is about ``per_bucket`` texts for each bucket, drawn by a hash of the id where the
+    texts lie; the ``per_text`` anchors of the smallest hashes of each give their leading bytes.
+    What the driver gets is bounded by the number of buckets.
     """
     if buckets < 2:
         return []
@@ -391,10 +392,12 @@ def _splitters(texts: DataFrame, buckets: int, per_bucket: int = 16) -> list[byt
             found: list[bytes] = []
             for text in batch.column(0).to_pylist():
                 own = Batch(pa.table({"doc_id": pa.array([0], pa.int64()), "text": [text]}))
-                for at in own.place[np.argsort(own.hash)[:per_bucket]].tolist():
+                for at in own.place[np.argsort(own.hash)[:per_text]].tolist():
                     found.append(own.flat[at:at + LEAD].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["lead"])
 
-    some = texts.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(buckets * per_bucket).select("text")
+    one_of = max(1, count // (buckets * per_bucket))
+    some = texts.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(one_of)) == 0).select("text")
     ordered = sorted({r[0] for r in some.mapInArrow(leads, "lead binary").collect()})
-    return [bytes(ordered[k * len(ordered) // buckets]) for k in range(1, buckets)] if len(ordered) >= buckets else ordered
+    ordered = [bytes(x) for x in ordered]
+    return [ordered[k * len(ordered) // buckets] for k in range(1, buckets)] if len(ordered) >= buckets else ordered
