@@ -68,12 +68,13 @@ def fit_vocabulary(df: DataFrame, text_col: str, analyzer: str = "char_wb", ngra
 
 
 def _row_weights(terms: dict[str, int], idf: np.ndarray, by_word: bool, low: int, high: int):
-    """Arrow function: array of words (or terms) -> sorted term ids and weights of the row."""
+    """Arrow function: array of words -> sorted ids and weights of the row's terms.
+
+    ``by_word``: terms are the n-grams of characters of each word, otherwise those of words.
+    """
     known: dict[str, list[int]] = {}
 
     def ids_of(word: str) -> list[int]:
-        if not by_word:
-            return [terms[word]] if word in terms else []
         found = known.get(word)
         if found is None:
             padded = f" {word} "
@@ -88,7 +89,12 @@ def _row_weights(terms: dict[str, int], idf: np.ndarray, by_word: bool, low: int
     def weigh(rows: pd.Series) -> pd.DataFrame:
         indices, weights = [], []
         for words in rows:
-            hits = [i for w in words for i in ids_of(w)] if words is not None else []
+            words = [] if words is None else list(words)
+            if by_word:
+                hits = [i for w in words for i in ids_of(w)]
+            else:
+                found = (" ".join(words[i:i + n]) for n in range(low, high + 1) for i in range(len(words) - n + 1))
+                hits = [terms[g] for g in found if g in terms]
             ids, times = np.unique(np.array(hits, np.int64), return_counts=True)
             w = (np.log(times) + 1.0) * idf[ids]
             norm = np.sqrt(np.dot(w, w))
@@ -111,7 +117,7 @@ def tfidf_column(vocabulary: DataFrame, text: Column, analyzer: str = "char_wb",
     for r in rows:
         idf[r["term_id"]] = r["idf"]
     weigh = _row_weights({r["term"]: r["term_id"] for r in rows}, idf, analyzer == "char_wb", *ngram_range)
-    return weigh(tx.words_by_space(text) if analyzer == "char_wb" else grams(text, analyzer, ngram_range))
+    return weigh(tx.words_by_space(text) if analyzer == "char_wb" else tx.word_tokens(text))
 
 
 def tfidf(df: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str, analyzer: str = "char_wb",
