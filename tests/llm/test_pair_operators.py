@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from wardline.llm import embed_dedup, minhash, suffix_dedup
 from wardline.llm.components import components
 from wardline.llm.line_dedup import dedup_lines
-from wardline.llm.source_mix import mix_sources, one_period, plan, shares_of
+from wardline.llm.source_mix import mix_sources, one_period, plan, schedule, shares_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -206,6 +207,39 @@ def test_pfair_deviation_is_below_one_block():
         assert sum(sum(p.last[s] - p.first[s] for s in p.first) for p in plan(blocks, weights)) == sum(blocks.values())
 
 
+def test_mix_follows_exact_weights_over_many_slots():
+    """Whole, decimal and uneven weights, and sources that run out, against the fluid mix."""
+    cases = [([4000] * 3, [1] * 3), ([500] * 20, [1] * 20), ([30000, 30], [0.999, 0.001]),
+             ([9000, 700, 2500, 1, 40], [0.3, 0.1, 5, 1, 0.017])]
+    for blocks, weights in cases:
+        exact, left = [Fraction(str(w)) for w in weights], [Fraction(b) for b in blocks]
+        done, fluid = [0] * len(blocks), [Fraction(0)] * len(blocks)
+        for s, j in schedule(dict(enumerate(blocks)), dict(enumerate(weights))):
+            assert j == done[s]
+            done[s] += 1
+            time = Fraction(1)
+            while time and any(left):
+                total = sum(w for w, x in zip(exact, left) if x)
+                step = min(time, *[x * total / w for w, x in zip(exact, left) if x])
+                for q in range(len(blocks)):
+                    if left[q]:
+                        fluid[q] += step * exact[q] / total
+                        left[q] = blocks[q] - fluid[q]
+                time -= step
+            assert all(abs(d - f) < 1 for d, f in zip(done, fluid))
+        assert done == blocks
+
+
+def test_source_mix_has_exact_weights(spark):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('s', id % 3) AS source")
+    got = mix_sources(docs, block_rows=1).select("position", "source").collect()
+    done = Counter()
+    for t, r in enumerate(sorted(got)):
+        assert r.position == t
+        done[r.source] += 1
+        assert all(abs(3 * done[f"s{q}"] - t - 1) < 3 for q in range(3))
+
+
 def test_source_mix(spark):
     ids = list(range(5000))
     rows = [(i, f"t{i}", "en", None if i % 50 == 0 else "big" if i % 3 else f"s{i % 4}", 1) for i in ids] + [(None, "n", "en", "s1", 1)] * 2

@@ -1,26 +1,32 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions alone.
 
-Each source is cut into blocks of equally many rows. Within a phase, block j of a source of
-weight w is released at slot floor((j - 1) / w) and due by slot ceil(j / w); the earliest
-deadline is served first. Weights are whole shares of a period, so the schedule of one period,
-made on the driver, repeats. A phase ends when a source has no block left; the others share its
-weight in the next phase.
+Each source is cut into blocks of equally many rows. A fluid mix would give every source its
+exact weight of each slot; of a source without blocks the others share the weight. Block j of a
+source is released in the slot in which its fluid part starts and due when that part ends; the
+earliest deadline is served first. All arithmetic is in whole numbers, so nothing adds up.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import islice
+from math import lcm
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wardline.llm.base import pick, stored
+from wardline.session import scratch_path
 
-#: Slots of a period, sources with a queue of their own, and rows ranked together.
-PERIOD, QUEUES, BUCKET_ROWS = 1024, 255, 1024
+#: Slots of a period, sources with a queue of their own, rows ranked together, and slots written at a time.
+PERIOD, QUEUES, BUCKET_ROWS, CHUNK = 1024, 255, 1024, 1 << 20
 
 
 def shares_of(weights: dict, period: int = PERIOD) -> dict:
@@ -34,58 +40,101 @@ def shares_of(weights: dict, period: int = PERIOD) -> dict:
     return shares
 
 
+def schedule(blocks: dict, weights: dict) -> Iterator[tuple]:
+    """(source, block) of each slot in turn; memory for the sources only, one heap step a slot.
+
+    At every prefix a source has less than one block more or less than the fluid mix gives it:
+    jobs released and due at whole slots around their fluid parts always fit, and serving the
+    earliest deadline then keeps every deadline.
+    """
+    live = [s for s in blocks if blocks[s] > 0]
+    exact = [max(Fraction(str(weights[s])), Fraction(1, 10**9)) for s in live]
+    unit = lcm(*[w.denominator for w in exact])
+    share, count = [int(w * unit) for w in exact], [blocks[s] for s in live]
+
+    # per unit of virtual time a source gets its share; sources end in the order of count / share,
+    # which whole numbers of this scale tell apart
+    scale = 2 * max(share, default=0).bit_length()
+    ends, given, rest = [], [0], [sum(share)]
+    for end, q in sorted(((count[q] << scale) // share[q], q) for q in range(len(live))):
+        ends.append(end)
+        given.append(given[-1] + count[q])
+        rest.append(rest[-1] - share[q])
+
+    def fluid(q: int, j: int) -> tuple[int, int]:
+        """Slot at which the fluid mix has given j blocks of the source, rounded down and up."""
+        k = bisect_right(ends, (j << scale) // share[q])
+        return given[k] + rest[k] * j // share[q], given[k] - (-rest[k] * j // share[q])
+
+    waiting, due = [(0, q, 0) for q in range(len(live))], []
+    for slot in range(sum(count)):
+        while waiting and waiting[0][0] <= slot:
+            _, q, j = heapq.heappop(waiting)
+            heapq.heappush(due, (fluid(q, j + 1)[1], q, j))
+        _, q, j = heapq.heappop(due)
+        yield live[q], j
+        if j + 1 < count[q]:
+            heapq.heappush(waiting, (fluid(q, j + 1)[0], q, j + 1))
+
+
 def one_period(shares: dict) -> dict:
-    """Slots of each source in a period: earliest deadline first among the released blocks."""
-    period, slots = sum(shares.values()), {s: [] for s in shares}
-    released = [[] for _ in range(period)]
-    for s, a in shares.items():
-        for j in range(a):
-            released[j * period // a].append((-(-(j + 1) * period // a), s))
-    due: list = []
-    for t in range(period):
-        for job in released[t]:
-            heapq.heappush(due, job)
-        slots[heapq.heappop(due)[1]].append(t)
+    """Slots of each source in a period of whole shares."""
+    slots: dict = {s: [] for s in shares}
+    for t, (s, _) in enumerate(schedule(shares, shares)):
+        slots[s].append(t)
     return slots
 
 
 @dataclass
 class Phase:
-    """From ``start`` on, source s gives its blocks from ``first[s]`` to before ``last[s]``."""
+    """From slot ``start`` on, source s gives its blocks from ``first[s]`` to before ``last[s]``."""
 
     start: int
     first: dict
     last: dict
-    slots: dict
 
 
-def plan(blocks: dict, weights: dict, period: int = PERIOD) -> list[Phase]:
+def plan(blocks: dict, weights: dict) -> list[Phase]:
     """Phases that place every block; ``blocks``: number of blocks of each source."""
-    done, start, phases = dict.fromkeys(blocks, 0), 0, []
-    while live := sorted(s for s in blocks if done[s] < blocks[s]):
-        slots = one_period(shares_of({s: weights[s] for s in live}, max(period, 2 * len(live))))
-        length = sum(len(x) for x in slots.values())
-
-        def slot_of(s, block: int) -> int:
-            return block // len(slots[s]) * length + slots[s][block % len(slots[s])]
-
-        end = min(slot_of(s, blocks[s] - done[s] - 1) for s in live) + 1
-        taken = {s: end // length * len(slots[s]) + sum(1 for t in slots[s] if t < end % length) for s in live}
-        phases.append(Phase(start, {s: done[s] for s in live}, {s: done[s] + taken[s] for s in live}, slots))
-        start += end
-        done |= {s: done[s] + taken[s] for s in live}
+    phases, done, start = [], dict.fromkeys(blocks, 0), 0
+    first = dict(done)
+    for t, (s, j) in enumerate(schedule(blocks, weights)):
+        done[s] = j + 1
+        if done[s] == blocks[s]:
+            own = [x for x in blocks if first[x] < blocks[x]]
+            phases.append(Phase(start, {x: first[x] for x in own}, {x: done[x] for x in own}))
+            first, start = dict(done), t + 1
     return phases
 
 
+def _stored_schedule(spark: SparkSession, blocks: dict, weights: dict) -> DataFrame:
+    """Position and phase of each block, written slot by slot."""
+    path, columns = scratch_path(spark, "schedule"), "_s int, _block long, _position long, _phase int"
+    slots, position, phase = schedule(blocks, weights), 0, 0
+    while (some := list(islice(slots, CHUNK))) or not position:
+        phases = []
+        for s, j in some:
+            phases.append(phase)
+            phase += j + 1 == blocks[s]
+        part = pa.table({
+            "_s": pa.array([s for s, _ in some], pa.int32()), "_block": pa.array([j for _, j in some], pa.int64()),
+            "_position": pa.array(range(position, position + len(some)), pa.int64()), "_phase": pa.array(phases, pa.int32())})
+        spark.createDataFrame(part, columns).write.mode("append").parquet(path)
+        position += len(some)
+        if not some:
+            break
+    return spark.read.schema(columns).parquet(path)
+
+
 def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int = 64, id_col: str = "doc_id",
                 source_col: str = "source", seed: int = 11) -> DataFrame:
     """All rows and columns with ``block``, ``phase``, ``position`` and ``place`` of each row.
 
     Blocks are numbered by ``position`` in the mix, rows by ``place`` within their block: sorting
     by both gives the mixed order. Within a source rows are ordered by a seeded hash of their id.
-    At every prefix of a phase each source has less than one block more or less than its weight
-    says, weights being rounded to the period. No row is dropped: when a source runs out,
-    a new phase shares its weight among the rest.
+    At every prefix of the mix each source has less than one block more or less than its exact
+    weight says (a number counts as its shortest decimal form). No row is dropped: a source that
+    runs out leaves its weight to the rest, and ``phase`` counts the sources that ran out before.
 
     ``weights``: target weight of each source, 1 where it is not named; by default all are equal.
     The 255 largest sources have queues of their own; smaller ones share one queue, whose weight
@@ -108,16 +157,11 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
         rows[len(top)] = total["rows"] - sum(rows.values())
         weight[len(top)] = sum(float(w) for s, w in weights.items() if s not in named) + max(
             0, total["sources"] - len(top) - sum(1 for s in weights if s not in named))
-    phases = plan({q: -(-n // block_rows) for q, n in rows.items()}, {q: max(w, 1e-9) for q, w in weight.items()})
-
     spark = docs.sparkSession
     queues = spark.createDataFrame([(r[source_col], q) for q, r in enumerate(top)], T.StructType([
         T.StructField("_source", docs.schema[source].dataType), T.StructField("_queue", T.IntegerType())]))
     sizes = spark.createDataFrame([(q, -(-n // BUCKET_ROWS)) for q, n in rows.items()], "_q int, _buckets long")
-    table = spark.createDataFrame(
-        [(s, n, p.start, p.first[s], p.last[s], len(p.slots[s]), sum(map(len, p.slots.values())), p.slots[s])
-         for n, p in enumerate(phases) for s in p.first],
-        "_s int, phase int, _start long, _first long, _last long, _share int, _period int, _slots array<int>")
+    slots = _stored_schedule(spark, {q: -(-n // block_rows) for q, n in rows.items()}, weight)
 
     # at most 256 queues: bounded broadcasts
     hashed = flat.join(F.broadcast(queues), F.col(f"_c{source}").eqNullSafe(F.col("_source")), "left").withColumn(
@@ -128,20 +172,20 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
         "_bucket", F.shiftright(F.col("_h") * F.col("_buckets"), 31))
     per_bucket = hashed.groupBy("_queue", "_bucket").count()
     before = F.sum("count").over(Window.partitionBy("_queue").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stored(per_bucket.select(F.col("_queue").alias("_oq"), F.col("_bucket").alias("_ob"),
-                                       F.coalesce(before, F.lit(0)).alias("_before")), "offsets")
+    offsets = per_bucket.select("_queue", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"), "count").select(
+        F.col("_queue").alias("_oq"), F.col("_bucket").alias("_ob"), "_before", F.explode(F.sequence(
+            F.floor(F.col("_before") / block_rows), F.floor((F.col("_before") + F.col("count") - 1) / block_rows))).alias("_at"))
+    # the slots of the blocks that a bucket touches travel with it: rows are moved once
+    spots = stored(offsets.join(slots, (F.col("_oq") == F.col("_s")) & (F.col("_at") == F.col("_block"))).groupBy(
+        "_oq", "_ob", "_before").agg(F.sort_array(F.collect_list(F.struct("_block", "_position", "_phase"))).alias("_slots")), "slots")
     order = Window.partitionBy("_queue", "_bucket").orderBy("_h", F.xxhash64(*flat.columns), *flat.columns)
     ranked = hashed.withColumn("_rank", F.row_number().over(order) - 1).join(
-        offsets, (F.col("_queue") == F.col("_oq")) & (F.col("_bucket") == F.col("_ob"))).withColumn(
+        spots, (F.col("_queue") == F.col("_oq")) & (F.col("_bucket") == F.col("_ob"))).withColumn(
         "_rank", F.col("_rank") + F.col("_before"))
     block = F.floor(F.col("_rank") / block_rows)
-    placed = ranked.withColumn("block", block).join(
-        F.broadcast(table), (F.col("_queue") == F.col("_s")) & (F.col("block") >= F.col("_first"))
-        & (F.col("block") < F.col("_last")))
-    step = F.col("block") - F.col("_first")
-    position = F.col("_start") + F.floor(step / F.col("_share")) * F.col("_period") + F.get(
-        "_slots", F.pmod(step, F.col("_share")).cast("int"))
-    added: dict[str, Column] = {"block": F.col("block"), "phase": F.col("phase"), "position": position,
+    placed = ranked.withColumn("block", block).withColumn("_slot", F.get(
+        "_slots", (F.col("block") - F.floor(F.col("_before") / block_rows)).cast("int")))
+    added: dict[str, Column] = {"block": F.col("block"), "phase": F.col("_slot._phase"), "position": F.col("_slot._position"),
                                 "place": F.pmod("_rank", F.lit(block_rows)).cast("int")}
     kept, seen = [], set(added)
     for i, c in enumerate(docs.columns):
