@@ -240,6 +240,18 @@ def test_source_mix_has_exact_weights(spark):
         assert all(abs(3 * done[f"s{q}"] - t - 1) < 3 for q in range(3))
 
 
+def test_every_source_has_its_own_share(spark):
+    docs = spark.range(400 * 20).selectExpr("id AS doc_id", "concat('s', id % 400) AS source")
+    docs = docs.union(spark.range(15).selectExpr("id AS doc_id", "'heavy' AS source"))
+    got = mix_sources(docs, {"heavy": 100}, block_rows=1).select("position", "source").collect()
+    first = [r.source for r in sorted(got)][:75]
+    assert sum(s == "heavy" for s in first) == 15
+    done = Counter()
+    for r in [r for r in sorted(got) if r.source != "heavy"]:
+        done[r.source] += 1
+        assert max(done.values()) - min(done.values() if len(done) == 400 else [0]) <= 2
+
+
 def test_source_mix(spark):
     ids = list(range(5000))
     rows = [(i, f"t{i}", "en", None if i % 50 == 0 else "big" if i % 3 else f"s{i % 4}", 1) for i in ids] + [(None, "n", "en", "s1", 1)] * 2

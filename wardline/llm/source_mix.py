@@ -25,8 +25,8 @@ from pyspark.sql.window import Window
 from wardline.llm.base import pick, stored
 from wardline.session import scratch_path
 
-#: Slots of a period, sources with a queue of their own, rows ranked together, and slots written at a time.
-PERIOD, QUEUES, BUCKET_ROWS, CHUNK = 1024, 255, 1024, 1 << 20
+#: Slots of a period, rows ranked together, and sources or slots written at a time.
+PERIOD, BUCKET_ROWS, CHUNK = 1024, 1024, 1 << 20
 
 
 def shares_of(weights: dict, period: int = PERIOD) -> dict:
@@ -137,8 +137,8 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
     runs out leaves its weight to the rest, and ``phase`` counts the sources that ran out before.
 
     ``weights``: target weight of each source, 1 where it is not named; by default all are equal.
-    The 255 largest sources have queues of their own; smaller ones share one queue, whose weight
-    is their sum. A null source is a source. Null ids are hashed like a value; rows alike in all
+    Every source is scheduled by its own weight; the driver holds a few numbers for each, and the
+    tables of sources and slots are joined by their size. A null source is a source. Null ids are hashed like a value; rows alike in all
     columns may take each other's place. Columns named like a new one are replaced. An empty
     table stays empty.
     """
@@ -146,30 +146,26 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
     source = docs.columns.index(source_col)
     flat = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     counts = pick(docs, source_col).groupBy(source_col).count()
-    top = counts.orderBy(F.desc("count"), F.col(source_col)).limit(QUEUES).collect()
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.count("*").alias("sources")).first()
-
-    # queue number of each large source; all others share the queue after them
-    rows = {q: r["count"] for q, r in enumerate(top)}
-    weight = {q: float(weights.get(r[source_col], 1)) for q, r in enumerate(top)}
-    if total["sources"] > len(top):
-        named = {r[source_col] for r in top}
-        rows[len(top)] = total["rows"] - sum(rows.values())
-        weight[len(top)] = sum(float(w) for s, w in weights.items() if s not in named) + max(
-            0, total["sources"] - len(top) - sum(1 for s in weights if s not in named))
-    spark = docs.sparkSession
-    queues = spark.createDataFrame([(r[source_col], q) for q, r in enumerate(top)], T.StructType([
-        T.StructField("_source", docs.schema[source].dataType), T.StructField("_queue", T.IntegerType())]))
-    sizes = spark.createDataFrame([(q, -(-n // BUCKET_ROWS)) for q, n in rows.items()], "_q int, _buckets long")
-    slots = _stored_schedule(spark, {q: -(-n // block_rows) for q, n in rows.items()}, weight)
-
-    # at most 256 queues: bounded broadcasts
-    hashed = flat.join(F.broadcast(queues), F.col(f"_c{source}").eqNullSafe(F.col("_source")), "left").withColumn(
-        "_queue", F.coalesce("_queue", F.lit(len(top))))
+    spark, kind = docs.sparkSession, docs.schema[source].dataType
+    blocks, weight, path = {}, {}, scratch_path(spark, "sources")
+    columns = T.StructType([T.StructField("_source", kind), T.StructField("_queue", T.IntegerType()),
+                            T.StructField("_buckets", T.LongType())])
+    found = counts.orderBy(F.desc("count"), F.col(source_col)).toLocalIterator()
+    while (some := list(islice(found, CHUNK))) or not blocks:
+        own = []
+        for r in some:
+            q = len(blocks)
+            blocks[q], weight[q] = -(-r["count"] // block_rows), weights.get(r[source_col], 1)
+            own.append((r[source_col], q, -(-r["count"] // BUCKET_ROWS)))
+        spark.createDataFrame(own, columns).coalesce(1).write.mode("append").parquet(path)
+        if not some:
+            break
+    queues = spark.read.schema(columns).parquet(path)
+    slots = _stored_schedule(spark, blocks, weight)
+
     key = F.xxhash64(F.lit(seed), flat[f"_c{docs.columns.index(id_col)}"])
-    hashed = hashed.withColumn("_h", F.pmod(key, F.lit(1 << 31))).join(
-        F.broadcast(sizes), F.col("_queue") == F.col("_q")).withColumn(
-        "_bucket", F.shiftright(F.col("_h") * F.col("_buckets"), 31))
+    hashed = flat.join(queues, F.col(f"_c{source}").eqNullSafe(F.col("_source"))).withColumn(
+        "_h", F.pmod(key, F.lit(1 << 31))).withColumn("_bucket", F.shiftright(F.col("_h") * F.col("_buckets"), 31))
     per_bucket = hashed.groupBy("_queue", "_bucket").count()
     before = F.sum("count").over(Window.partitionBy("_queue").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_bucket.select("_queue", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"), "count").select(
