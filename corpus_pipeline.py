@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardline.llm import byte_cnn
 from wardline.llm.byte_bpe import encode_decode
@@ -42,18 +43,35 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order of a mix of equally weighted sources."""
+    """All documents, written in the order of a mix of equally weighted sources; ``encode`` numbers it."""
     return cut_lineage(mix_sources(docs)).orderBy("position", "place").select(*COLUMNS)
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """Rows read from files that Spark wrote, with their ``position`` by part number and place in the file."""
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    piece = F.regexp_extract("_metadata.file_name", r"-c(\d+)\D", 1).cast("long")
+    placed = docs.select("*", part.alias("_part"), piece.alias("_piece"), F.col("_metadata.row_index").alias("_row"))
+    sizes = placed.groupBy("_part", "_piece").agg((F.max("_row") + 1).alias("_rows"))
+    # one small row per file
+    before = F.sum("_rows").over(Window.orderBy("_part", "_piece").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(F.col("_part").alias("_p"), F.col("_piece").alias("_c"), F.coalesce(before, F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), F.col("_part").eqNullSafe(F.col("_p")) & F.col("_piece").eqNullSafe(
+        F.col("_c"))).select(*docs.columns, (F.col("_start") + F.col("_row")).alias("position"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and whether they decode to its bytes again."""
+    """Token ids of each text, whether they decode to its bytes again, and its ``position`` in the mix.
+
+    Positions count the rows of the files of ``docs``, which a sort wrote in the order of their
+    part numbers, from 0 on: sorting by them gives the mixed order.
+    """
     import public_tokenizers
 
-    rows = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = in_file_order(docs).withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
     coded = encode_decode(rows, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-                          extra=("lang", "source", "_sha"))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                          extra=("lang", "source", "_sha", "position"))
+    return coded.select("doc_id", "lang", "source", "position", F.size("ids").cast("long").alias("n_tokens"), "ids",
                         (F.sha2("decoded", 256) == F.col("_sha")).alias("lossless"))
 
 

@@ -310,6 +310,26 @@ def test_pipeline_stages_against_brute_force(spark):
     assert all(r.lossless and r.n_tokens == len(r.ids) for r in final)
 
 
+def test_mixed_order_reaches_the_result_of_the_pipeline(spark):
+    import corpus_pipeline
+    from wardline.session import cut_lineage
+
+    rows = [(i, f"text number {i}", "en", "big" if i % 4 else f"s{i % 3}", 9) for i in range(6000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    mixed = cut_lineage(corpus_pipeline.mix(spark, docs, ""))
+    final = corpus_pipeline.encode(spark, mixed, "").select("position", "doc_id", "source").collect()
+    order = [r.source for r in sorted(final)]
+    assert [r.position for r in sorted(final)] == list(range(6000))
+    place = {r.doc_id: (r.position, r.place) for r in mix_sources(docs).collect()}
+    assert [r.doc_id for r in sorted(final)] == sorted(place, key=place.get)
+    done, end = Counter(), min(max(k for k, x in enumerate(order) if x == s) for s in set(order))
+    for t, s in enumerate(order[:end]):
+        done[s] += 1
+        assert all(abs(done[x] - (t + 1) / 4) < 2 * 64 for x in set(order))
+    run = corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("position").collect()
+    assert sorted(r.position for r in run) == list(range(len(run)))
+
+
 def test_sql_of_queries(spark):
     from conformance import connect, rows_of
     from wardline.llm import queries
