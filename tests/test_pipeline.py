@@ -199,3 +199,15 @@ def test_train_then_score(spark, tmp_path):
     scored = lifecycle.score(df.unionByName(df).drop("label"), *lifecycle.load_run(spark, str(tmp_path / "run")))
     assert scored.columns == ["event_id", "pred_label", "prob_benign", "prob_malicious", "prob_suspicious"]
     assert scored.count() == 200
+
+
+def test_boosted_models_are_explained_by_their_trees(spark):
+    from pyspark.ml.functions import array_to_vector
+    from wardline.operators import explain, models
+
+    rows = spark.range(300).select("id", (F.col("id") % 3).cast("int").alias("label_idx"), array_to_vector(F.array(
+        (F.col("id") % 3).cast("double"), (F.col("id") % 7).cast("double"))).alias("features"))
+    model = models.Classifier("gbt_ovr", {"rounds": 3, "max_depth": 3}, 3).fit(rows)
+    got = {r.feature: r for r in explain.explain(model, rows, rows, "id", ["own", "other"], ("shap",)).collect()}
+    assert {r.method for r in got.values()} == {"shap_tree"}
+    assert got["own"].importance > got["other"].importance

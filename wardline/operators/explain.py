@@ -223,12 +223,17 @@ def _macro_f1(cells: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 def explain(model, train: DataFrame, val: DataFrame, id_col: str, feature_names: list[str],
             methods: tuple[str, ...] = ("shap", "permutation"), k: int = 3, **limits) -> DataFrame:
-    """Long table (method, feature, importance, std). Tree models use their trees, others sampling."""
+    """Long table (method, feature, importance, std). Tree models use their trees, others sampling.
+
+    A boosted model is explained by the margin of its part for the target class.
+    """
     out = []
     rows = {n: limits[n] for n in ("max_rows",) if n in limits}
     for method in methods:
-        if method == "shap" and getattr(model, "kind", "") == "random_forest":
-            phi, _base = shap_tree(model.parts[0], val, id_col, feature_names, **rows)
+        kind = getattr(model, "kind", "")
+        if method == "shap" and (kind == "random_forest" or kind.startswith("gbt")):
+            part = model.parts[TARGET_CLASS if kind.startswith("gbt") else 0]
+            phi, _base = shap_tree(part, val, id_col, feature_names, **rows)
             name, table = "shap_tree", mean_absolute(phi)
         elif method == "shap":
             sampled = {n: limits[n] for n in ("samples", "background_rows") if n in limits}

@@ -6,6 +6,8 @@ what they must be.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -226,6 +228,20 @@ def _(spark, folder):
     return violations(total.join(p, "event_id"), F.abs(F.col("total") - (F.col("p") - base)) > 1e-6)
 
 
+@query("shap_tree_boosted", f"SELECT count(*) * {K} AS n_rows, 0 AS n_violations FROM events")
+def _(spark, folder):
+    """Contributions of every event to each class part sum to its margin minus the base."""
+    rows = event_vectors(spark, folder).persist()
+    found = []
+    for part in small("gbt_ovr").fit(rows).parts:
+        phi, base = explain.shap_tree(part, rows, "event_id", MODEL_COLS, max_rows=None)
+        total = phi.groupBy("event_id").agg(F.sum("phi").alias("total"))
+        margin = part.transform(rows).select("event_id", (
+            vector_to_array(part.getRawPredictionCol())[1] - base).alias("margin"))
+        found.append(total.join(margin, "event_id"))
+    return violations(reduce(DataFrame.unionByName, found), F.abs(F.col("total") - F.col("margin")) > 1e-6)
+
+
 @query("shap_sampling", f"SELECT count(*) * {len(MODEL_COLS)} AS n_rows, 0 AS n_violations FROM events")
 def _(spark, folder):
     """Contributions of every event sum to its probability minus the mean of its background rows."""
