@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wardline.llm import embed_dedup, minhash, suffix_dedup
 from wardline.llm.components import components
 from wardline.llm.line_dedup import dedup_lines
+from wardline.llm.minhash import near_duplicates
 from wardline.llm.source_mix import mix_sources, one_period, plan, schedule, shares_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -353,3 +354,39 @@ def test_query_digests_by_force(spark):
     near = near_by_force(list(texts.items()), 4)
     got = queries.QUERIES["op9_minhash"](spark, folder).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == near
+
+
+def test_partitions_without_a_word_pass_every_text_operator(spark):
+    """Fresh workers whose first texts are all null or empty, as in a null-only partition."""
+    import public_tokenizers
+
+    from wardline.llm import segments
+    from wardline.llm.byte_bpe import encode_decode
+
+    segments.let_go()
+    assert segments.prefix_sums(np.zeros(0, np.uint8)).tolist() == [0]
+    docs = spark.createDataFrame([(i, None if i % 2 else "", "en", "s", 0) for i in range(8)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert [tuple(r) for r in near_duplicates(docs).orderBy("doc_id").collect()] == [(i, 0, i, True) for i in range(8)]
+    coded = encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert {(len(r.ids), bytes(r.decoded)) for r in coded.collect()} == {(0, b"")}
+
+
+def test_memo_keeps_what_recurs_within_its_bounds():
+    from wardline.llm.segments import Memo, utf8_bytes
+
+    import pyarrow as pa
+
+    seen = []
+
+    def encode(parts):
+        seen.extend(parts)
+        return np.concatenate([np.frombuffer(p, np.uint8).astype(np.int32) for p in parts]), np.array([len(p) for p in parts])
+
+    memo = Memo(encode, most=50, most_bytes=4000)
+    for k in range(200):
+        text = f"often met {k} a{k} b{k} c{k}"
+        values, at = memo(*utf8_bytes(pa.array([text, None, ""])))
+        assert bytes(values.astype(np.uint8)) == text.encode() and at.tolist() == [0, len(text), len(text), len(text)]
+        assert len(memo.keys) <= 60
+    assert seen.count(b" met") < 5

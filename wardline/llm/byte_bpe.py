@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from wardline.llm.base import pick
-from wardline.llm.segments import Memo, slices, utf8_bytes
+from wardline.llm.segments import Memo, held, slices, utf8_bytes
 
 #: Words in one recursive query.
 WORDS = 30_000
@@ -66,8 +65,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class DuckBpe:
     """Encoder and decoder of one rank file, with memos of the segments met by this worker."""
 
-    def __init__(self, path: str, pattern: str, most_words: int = 2_000_000,
-                 most_segments: int = 1_200_000):
+    def __init__(self, path: str, pattern: str, most_words: int = 500_000, most_segments: int = 350_000):
         import duckdb
         import regex
 
@@ -154,10 +152,9 @@ class DuckBpe:
         return self.decoded(ids.view(np.uint8), offsets * 4, starts * 4)
 
 
-@lru_cache(maxsize=2)
 def worker_bpe(path: str, pattern: str) -> DuckBpe:
     """One per worker process and rank file."""
-    return DuckBpe(path, pattern)
+    return held(("bpe", path, pattern), lambda: DuckBpe(path, pattern))
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.llm.base import pick
-from wardline.llm.segments import slices, utf8_bytes
+from wardline.llm.segments import let_go, slices, utf8_bytes
 
 #: Bytes of a filter, step from chunk to chunk (a chunk is two steps long), positions per tile.
 WIDTH, STEP, TILE = 8, 128, 1 << 15
@@ -192,6 +192,7 @@ def add_score(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         for batch in batches:
             texts = pa.array(batch, pa.string(), from_pandas=True)
             if net is None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.base import pick, stored
 from wardline.llm.components import components
-from wardline.llm.segments import mixed, range_hashes, ragged, slices, utf8_bytes
+from wardline.llm.segments import let_go, mixed, range_hashes, ragged, slices, utf8_bytes
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -87,6 +87,7 @@ _SIGNED = "doc_id long, n_shingles long, fp_a long, fp_b long, bands array<long>
 
 def _signatures(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for i, j in slices(texts, 1 << 20):
@@ -117,6 +118,7 @@ def _signatures(plan: Plan):
 
 def _sets(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = batch.column(0)
             for i, j in slices(texts, 1 << 20):

@@ -7,6 +7,8 @@ Encoding the distinct segments of a batch therefore encodes the batch.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import numpy as np
@@ -14,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 
 #: Bytes hashed at a time.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -63,7 +65,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, n: int) -> np.ndarray:
     held = _POWERS.get(base)
     if held is None or len(held) < n:
-        held = np.full(n + n // 8, base, np.uint64)
+        held = np.full(max(n + n // 8, 1), base, np.uint64)  # also for a batch without a byte
         held[0] = 1
         _POWERS[base] = held = np.multiply.accumulate(held)
     return held[:n]
@@ -90,22 +92,62 @@ def mixed(values: np.ndarray, extra: np.ndarray | int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def let_go() -> None:
+    """Give back what operators before this one left in a reused worker."""
+    _HELD.clear()
+    _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library frees pages by itself
+
+
+def held(key: tuple, make: Callable):
+    """The one large object of this worker; that of another key goes first."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 class Memo:
     """What an encoder gave for the segments seen so far in this worker: a ragged array by hash.
 
-    The encoder sees each new segment once. Beyond ``most`` segments the memo starts again
-    from the segments of the current slice, so its memory is bounded.
+    The encoder sees each new segment once. Beyond ``most`` segments or ``most_bytes`` of results
+    the segments met most often stay, half as many at most, so memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000,
-                 kind=np.int32):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 350_000,
+                 kind=np.int32, most_bytes: int = 24 << 20):
         """``encode`` returns the results of a list of segments end to end, and the size of each."""
-        self.encode, self.most, self.kind = encode, most, kind
+        self.encode, self.most, self.kind, self.most_bytes = encode, most, kind, most_bytes
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.offsets, self.values = np.zeros(1, np.int64), np.zeros(0, self.kind)
+        self.hits = np.zeros(0, np.int32)
+
+    def _keep_hot(self) -> None:
+        """Drop all but the segments of most hits."""
+        room = self.most // 2
+        least = np.partition(self.hits, -room)[-room] if len(self.hits) > room else -1
+        stay = np.flatnonzero(self.hits > least)
+        sizes = np.diff(self.offsets)
+        if sizes[stay].sum() * self.values.itemsize > self.most_bytes // 2:
+            self.clear()
+            return
+        new_row = np.full(len(self.hits), -1)
+        new_row[stay] = np.arange(len(stay))
+        self.values, self.offsets = ragged(self.offsets, self.values, stay)
+        self.hits = self.hits[stay] // 2
+        live = new_row[self.rows] >= 0
+        self.keys, self.rows = self.keys[live], new_row[self.rows[live]]
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -133,9 +175,10 @@ class Memo:
 
     def _part(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         coded, keys = pd.factorize(range_hashes(flat, starts, ends))
-        if len(self.keys) + len(keys) > self.most:
-            self.clear()
+        if len(self.keys) + len(keys) > self.most or self.values.nbytes > self.most_bytes:
+            self._keep_hot()
         rows = self._find(keys)
+        self.hits[rows[rows >= 0]] += 1
         new = np.flatnonzero(rows < 0)
         if len(new):
             first = np.zeros(len(keys), np.int64)
@@ -146,6 +189,7 @@ class Memo:
             rows[new] = len(self.offsets) - 1 + np.arange(len(new))
             self.offsets = np.append(self.offsets, self.offsets[-1] + np.cumsum(sizes))
             self.values = np.append(self.values, values)
+            self.hits = np.append(self.hits, np.zeros(len(new), np.int32))
             by_key = new[np.argsort(keys[new])]
             at = np.searchsorted(self.keys, keys[by_key])
             self.keys, self.rows = np.insert(self.keys, at, keys[by_key]), np.insert(self.rows, at, rows[by_key])

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.llm.base import pick
-from wardline.llm.segments import Memo, slices, utf8_bytes
+from wardline.llm.segments import Memo, held, slices, utf8_bytes
 from wardline.session import scratch_path
 
 #: Ids of one transposed block, and ids after which a chunk ends at the next document.
@@ -76,10 +75,9 @@ class WordEncoder:
         return np.fromiter(chain.from_iterable(out), np.int32), np.array([len(x) for x in out], np.int64)
 
 
-@lru_cache(maxsize=2)
 def word_memo(path: str) -> Memo:
     """One per worker process and file."""
-    return Memo(WordEncoder(path))
+    return held(("words", path), lambda: Memo(WordEncoder(path), 700_000))
 
 
 def pack(ids: np.ndarray) -> tuple[list[int], bytes]:
