@@ -15,6 +15,7 @@ from wardline.llm.source_mix import mix_sources
 from wardline.llm.suffix_dedup import remove_repeats
 from wardline.llm.token_files import token_table
 from wardline.llm.url_filter import judge_urls
+from wardline.llm.whitening import whiten
 
 QUERIES, ORACLES = {}, dict(sql.ORACLES)
 
@@ -114,3 +115,8 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = pick(table(spark, folder, "pages"), "page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
