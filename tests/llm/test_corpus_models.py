@@ -1,13 +1,16 @@
 """Whitening, language-model scoring and cross-tokenizer alignment against plain versions."""
 
+import hashlib
 import math
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.llm import queries, whitening
+from wardline.llm import cross_align, queries, whitening
+from wardline.llm.cross_align import PairIndex, align_documents, build, count_pairs, pair_table
 from wardline.llm.whitening import components_of, whiten
 
 
@@ -75,3 +78,113 @@ def test_whitening_of_odd_tables(spark):
     far = spark.createDataFrame([(1, [0.0]), (2, [1e13])], "vec_id long, embedding array<double>")
     assert {r.deviation for r in whiten(far).collect()} == {None}
     assert whitening.LEAST_SHARE < 1e-9
+
+
+A_FILE, B_FILE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+ODD = ["", None, " ", "   ", "x ", " lead", "a  b   c\n\n d\t e", "one\n two \n three", "Straße İstanbul <|endoftext|> <s> </s> <unk> <0x41>",
+       "你好世界 한글 😀😀 \u00a0 x\u3000 y", "has \u2581 inside", "\u2581", "a\x00b \x7f \x0b z", "12345 67,890 it's we'll", "z" * 4000,
+       "word " * 3000, "the cat the cat", "the cat", "the cat", "\r\n \r\n", "e\u0301 \u0085 q", "\ufeffbom \ufffd"]
+
+
+def plain_alignment(texts):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(A_FILE), sentencepiece.SentencePieceProcessor(model_file=B_FILE)
+    a.encode_special_tokens = True
+    letter = cross_align._letters()
+    out, holders = [], Counter()
+    for text in texts:
+        if not text:
+            out.append(([], [], []))
+            continue
+        x, y = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        ends = []
+        for parts in ([bytes(letter[c] for c in a.id_to_token(i)) for i in x],
+                      [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("\u2581", " ").encode()
+                       for i in y]):
+            if b"".join(parts) != (" " + text).encode():
+                ends = None
+                break
+            at, own = 0, []
+            for p in parts:
+                at += len(p)
+                own.append(at)
+            ends.append(own)
+        if ends is None:
+            out.append(([], [], []))
+            continue
+        groups, i, j = [], 0, 0
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            m, k = i, j
+            while m < len(x) and ends[0][m] <= cut:
+                m += 1
+            while k < len(y) and ends[1][k] <= cut:
+                k += 1
+            groups.append((x[i:m], y[j:k]))
+            i, j = m, k
+        links = [(p, q) for g in groups for p in g[0] for q in g[1]]
+        holders.update(set(links))
+        out.append((x, y, groups, links))
+    best = {}
+    for (p, _), n in holders.items():
+        best[p] = max(best.get(p, 0), n)
+    rows = []
+    for own in out:
+        if not own[0]:
+            rows.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        x, y, groups, links = own
+        text = ";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in groups)
+        rows.append((len(x), len(y), len(groups), len(links), sum(holders[k] == best[k[0]] for k in links),
+                     sum(holders[k] for k in links), text))
+    return rows, holders
+
+
+@pytest.mark.parametrize("block", [4_000_000, 40])
+def test_alignment_of_odd_texts(spark, block, monkeypatch):
+    monkeypatch.setattr(cross_align, "BUCKET_KEYS", 16)
+    texts = ODD + ["the cat"]
+    docs = spark.createDataFrame([(i if i != 3 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = docs.withColumn("Groups", F.lit("x")).withColumn("_a", F.lit(1)).repartition(3)
+    rows, holders = plain_alignment(texts)
+    got = align_documents(docs, A_FILE, B_FILE, block_pairs=block).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, *tuple(r)[1:]) for r in got) == sorted(
+        (i == 3, i if i != 3 else 0, *r) for i, r in enumerate(rows))
+    if block == 40:
+        counted = count_pairs(docs.select("text"), A_FILE, B_FILE, block)
+        assert len(counted.blocks) > 1
+        assert {(r.a, r.b): r.documents for r in pair_table(counted).collect()} == dict(holders)
+
+
+def test_alignment_of_empty_tables(spark):
+    assert align_documents(spark.createDataFrame([], "doc_id long, text string"), A_FILE, B_FILE).count() == 0
+    none = spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string")
+    assert {tuple(r)[1:] for r in align_documents(none, A_FILE, B_FILE).collect()} == {(0, 0, 0, 0, 0, 0, "")}
+
+
+def test_alignment_query_on_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    rows, _ = plain_alignment([r.text for r in texts])
+    got = {r.doc_id: tuple(r)[1:] for r in queries.QUERIES["op11_cross_align"](spark, folder).collect()}
+    for doc, row in zip(texts, rows, strict=True):
+        assert got[doc.doc_id] == (*row[:6], hashlib.sha256(row[6].encode()).hexdigest() if row[6] else "")
+
+
+def test_perfect_hash_is_minimal_and_verified():
+    draw = np.random.default_rng(2)
+    keys = np.unique(draw.integers(0, 1 << 50, 20_000))
+    buckets = 7
+    own = cross_align.bucket_of(keys, buckets)
+    rows = []
+    for k in range(buckets):
+        sizes, words, ordered = build(keys[own == k])
+        rows.append({"bucket": k, "sizes": sizes, "words": words.tobytes(), "keys": ordered.astype("<i8").tobytes()})
+    index = PairIndex.of(rows[1:6], buckets, 1, 6)
+    found = index.find(keys)
+    inside = (own >= 1) & (own < 6)
+    assert (found[~inside] == -1).all() and sorted(found[inside]) == list(range(int(inside.sum())))
+    assert (index.find(keys[inside] + 1)[~np.isin(keys[inside] + 1, keys)] == -1).all()
+    with pytest.raises(ValueError):
+        build(np.array([5, 5]))

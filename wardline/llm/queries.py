@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardline.llm import byte_cnn, quality_rules, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
+from wardline.llm.cross_align import align_documents
 from wardline.llm.embed_dedup import link_embeddings
 from wardline.llm.line_dedup import dedup_lines
 from wardline.llm.minhash import Plan, near_duplicates
@@ -117,6 +118,14 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op11_cross_align(spark: SparkSession, folder: str) -> DataFrame:
+    found = align_documents(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                            tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 @query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"))
