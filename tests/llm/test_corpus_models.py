@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -9,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.llm import cross_align, queries, whitening
+from wardline.llm import cross_align, lm_score, queries, whitening
 from wardline.llm.cross_align import PairIndex, align_documents, build, count_pairs, pair_table
 from wardline.llm.whitening import components_of, whiten
 
@@ -188,3 +190,79 @@ def test_perfect_hash_is_minimal_and_verified():
     assert (index.find(keys[inside] + 1)[~np.isin(keys[inside] + 1, keys)] == -1).all()
     with pytest.raises(ValueError):
         build(np.array([5, 5]))
+
+
+def plain_tokens(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", lower), None]
+
+
+def plain_scores(rows, learned):
+    counts = Counter(t for i, text in rows if learned(i) for t in plain_tokens(text))
+    total, distinct = sum(counts.values()), len(counts)
+    out = []
+    for i, text in rows:
+        own = plain_tokens(text)
+        base = sum(math.log10((counts[t] + 0.1) / (total + 0.1 * (distinct + 1))) for t in own)
+        out.append((i, not learned(i), len(own), sum(counts[t] > 0 for t in own), total, base))
+    return out
+
+
+def not_tenth(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 10 != 0
+
+
+@pytest.mark.parametrize("frequent", [1 << 18, 3000])
+def test_lm_scores_of_documents(spark, frequent, monkeypatch):
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)  # with few of them most words get their counts by the join
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    known = {r[0]: r for r in plain_scores(rows, not_tenth)}
+    got = queries.QUERIES["op12_lm_score"](spark, folder).collect()
+    assert len(got) == len(known)
+    for r in got:
+        assert tuple(r)[:5] == known[r.doc_id][:5] and abs(r.base_score - known[r.doc_id][5]) < 1e-9 * max(1, abs(r.base_score))
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > 0.995 * sum(r.base_score for r in held)  # a greater log: better than the unigram
+    assert all(r.score < 0 for r in got)
+
+
+def test_lm_scores_of_odd_rows(spark):
+    texts = [None, "", "  \n\t ", "One one ONE", "one two", "\u00a0 \u0130 i", "é É", "x" * 50_000, "w " * 30_000, "one two", "two\x0bthree"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "one two"), (3, "other text"), (3, "One one ONE")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, TEXT string, N_tokens int").withColumn("score", F.lit(1)).repartition(2)
+    for learned, use in ((not_tenth, F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 != 0, F.lit(False))),
+                         (lambda i: False, F.lit(False))):
+        model, others = lm_score.fit(docs, use, text_col="TEXT")
+        got = lm_score.score(docs, model, others, text_col="TEXT").collect()
+        order = lambda r: (r[0] is None, r[0] or 0, *r[1:4], round(r[4], 6))
+        assert [order(x) for x in sorted((tuple(r)[:5] for r in got), key=order)] == [
+            order(x) for x in sorted(((a, *x) for a, _, *x in plain_scores(rows, learned)), key=order)]
+        if not learned(1):
+            assert all(abs(r.score) < 1e-6 * r.n_tokens and r.base_score == 0 for r in got)
+    empty = docs.limit(0)
+    assert lm_score.score(empty, *lm_score.fit(empty, F.lit(True), text_col="TEXT"), text_col="TEXT").count() == 0
+
+
+def test_lm_is_normalised_and_learns():
+    """Probabilities after any context add up to 1 over all words; a fixed order of words is learned."""
+    words = [f"w{i % 7}" for i in range(4000)]
+    hashes = np.arange(7, dtype=np.uint64)
+    count = np.array(sorted(Counter(words).values(), reverse=True), np.int64)
+    counts = lm_score.Counts(4001, 8, hashes, count, np.arange(7), 1)
+    model = lm_score.Model.fresh(counts)
+    out, contexts = model.tokens(np.array([i % 7 for i in range(4000)]), np.array([0, 4000]))
+    assert (contexts[:, 0] == 1).all() and contexts[0, 5] == out[4] and contexts[2, 5] == out[2] and out[-1] == 1
+    before = model.log10(out, contexts).sum()
+    assert abs(before - sum(np.append(counts.base(count)[np.arange(4000) % 7], counts.base(1)))) < 0.02 * abs(before)
+    trainer = lm_score.Trainer(model, 1)
+    for _ in range(20):
+        trainer.learn(out, contexts)
+    assert model.log10(out, contexts).sum() > 0.3 * before
+    some = contexts[:, [0, 1, 50]]
+    for k in range(3):
+        every = model.log10(np.arange(lm_score.OUTPUTS), np.repeat(some[:, k:k + 1], lm_score.OUTPUTS, axis=1))
+        assert abs((10.0 ** every).sum() - 1) < 1e-5
+    # the words that share output 0 divide its probability: seen ones by their counts, the last share is for new ones
+    assert abs(sum(10 ** counts.base(count)) + 10 ** counts.base(1) + 10 ** counts.base(0) - 1) < 1e-12
+    assert abs(10 ** model.rare - 10 ** counts.base(0)) < 1e-9

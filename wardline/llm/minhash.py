@@ -13,12 +13,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.base import pick, stored
 from wardline.llm.components import components
-from wardline.llm.segments import let_go, mixed, range_hashes, ragged, slices, utf8_bytes
-
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+from wardline.llm.segments import let_go, mixed, range_hashes, ragged, slices, word_bounds
 
 
 @dataclass(frozen=True)
@@ -41,17 +36,8 @@ class Plan:
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(ascending distinct shingle hashes end to end, offsets of the texts among them)."""
-    flat, offsets = utf8_bytes(texts)
-    flat = _LOWER[flat]
-    inside = np.zeros(len(flat) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[flat]
-    change = np.diff(inside)
-    cut = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(flat))]
-    joins = np.unique(cut[(inside[cut] == 1) & (inside[cut + 1] == 1)])  # two texts meet inside a word
-    starts = np.sort(np.append(np.flatnonzero(change == 1), joins))
-    ends = np.sort(np.append(np.flatnonzero(change == -1), joins))
+    flat, starts, ends, of_text = word_bounds(texts)
     own = range_hashes(flat, starts, ends)
-    of_text = np.searchsorted(starts, offsets)
     counts = np.diff(of_text)
     full = np.maximum(counts - words + 1, np.minimum(counts, 1))  # shingles with repeats
     first = of_text[:-1]

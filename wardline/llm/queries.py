@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import byte_cnn, quality_rules, sql
+from wardline.llm import byte_cnn, lm_score, quality_rules, sql
 from wardline.llm.base import pick
 from wardline.llm.byte_bpe import encode_decode
 from wardline.llm.cross_align import align_documents
@@ -126,6 +126,15 @@ def op11_cross_align(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("groups_sha256", digest).drop("groups")
 
 
+@query
+def op12_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Learned from ids whose crc32 is not divisible by ten; a null id is held out."""
+    docs = table(spark, folder, "documents")
+    learned = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 != 0, F.lit(False))
+    scored = lm_score.score(docs, *lm_score.fit(docs, learned))
+    return scored.select("doc_id", (~learned).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"))

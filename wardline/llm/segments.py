@@ -52,6 +52,27 @@ def segment_starts(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start[:n])
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def word_bounds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes with A to Z in lower case, starts and ends of the words, offsets of the texts among the words).
+
+    A word is a run without ASCII white space; no word crosses from one text to the next.
+    """
+    flat, offsets = utf8_bytes(texts)
+    flat = _LOWER[flat]
+    inside = np.zeros(len(flat) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[flat]
+    change = np.diff(inside)
+    cut = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(flat))]
+    joins = np.unique(cut[(inside[cut] == 1) & (inside[cut + 1] == 1)])  # two texts meet inside a word
+    starts = np.sort(np.append(np.flatnonzero(change == 1), joins))
+    ends = np.sort(np.append(np.flatnonzero(change == -1), joins))
+    return flat, starts, ends, np.searchsorted(starts, offsets)
+
+
 def range_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range: polynomial prefix sums, the length mixed in."""
     sums = prefix_sums(flat)
