@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.hashing import SEED, hash_int, hash_unit
+from wardline.operators.hashsearch import knn_lsh
 from wardline.operators.neighbors import BLOCK_ROWS, knn
 from wardline.operators.ordering import class_counts, hash_rank, with_hash
 from wardline.operators.sampling import keep_first
@@ -27,6 +28,15 @@ OVER_TARGETS = {1: 30_000, 2: 30_000}
 DEFAULT_METHOD = "hybrid"
 
 
+def nearest(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None, block_rows: int, search: str) -> DataFrame:
+    """Neighbours by the ``exact`` search, or by ``hashed`` tables: linear traffic, a few near rows missed."""
+    if search not in ("exact", "hashed"):
+        raise ValueError(f"unknown search {search}")
+    if search == "hashed":
+        return knn_lsh(df, id_col, vec_col, k, class_col)
+    return knn(df, id_col, vec_col, k, class_col, block_rows)
+
+
 def class_weights(df: DataFrame, label_col: str) -> DataFrame:
     """(label, n, weight) with weight n / (k * n_label)."""
     counts = df.groupBy(label_col).agg(F.count("*").alias("n"))
@@ -135,7 +145,7 @@ def _seeded(ranked: DataFrame, extra: dict, sizes: dict, near: DataFrame, label_
 
 
 def smote(df: DataFrame, label_col: str, id_col: str, vec_col: str, targets: dict | None = None, k: int = K_NEIGHBORS,
-          seed=SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+          seed=SEED, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """Rows plus synthetic ones on segments to near rows of the same class."""
     rows = _plain(df, label_col, id_col, vec_col)
     counts = class_counts(rows, label_col)
@@ -145,15 +155,16 @@ def smote(df: DataFrame, label_col: str, id_col: str, vec_col: str, targets: dic
     if not extra:
         return rows
     grown = rows.where(F.col(label_col).isin(list(extra)))
-    near = knn(grown, id_col, vec_col, k, label_col, block_rows)
+    near = nearest(grown, id_col, vec_col, k, label_col, block_rows, search)
     ranked = hash_rank(grown.select(id_col, label_col), [label_col], id_col, "__rank", seed)
     pairs = _seeded(ranked, extra, counts, near, label_col, id_col, k, seed)
     return rows.unionByName(_mix(pairs, label_col, id_col, vec_col, grown, max(counts) + 1, seed))
 
 
-def _other_class_counts(rows: DataFrame, label_col: str, id_col: str, vec_col: str, m: int, block_rows: int) -> DataFrame:
+def _other_class_counts(rows: DataFrame, label_col: str, id_col: str, vec_col: str, m: int, block_rows: int,
+                        search: str) -> DataFrame:
     """(id, label, others, seen): how many of the m nearest rows of any class belong to another class."""
-    near = knn(rows, id_col, vec_col, m, None, block_rows)
+    near = nearest(rows, id_col, vec_col, m, None, block_rows, search)
     labels = rows.select(F.col(id_col).alias("neighbor"), F.col(label_col).alias("near_label"))
     own = rows.select(F.col(id_col).alias("id"), label_col)
     return (
@@ -165,7 +176,7 @@ def _other_class_counts(rows: DataFrame, label_col: str, id_col: str, vec_col: s
 
 
 def adasyn(df: DataFrame, label_col: str, id_col: str, vec_col: str, k: int = K_NEIGHBORS, seed=SEED,
-           block_rows: int = BLOCK_ROWS) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """As ``smote``, with more synthetic rows where other classes are near.
 
     Shares are settled by largest remainder. A share takes at most k + 1 values, so the
@@ -176,7 +187,7 @@ def adasyn(df: DataFrame, label_col: str, id_col: str, vec_col: str, k: int = K_
     extra = {c: n for c, n in _missing(counts, None).items() if n > 0}
     if not extra or not over_feasible(counts, None, k):
         return rows
-    around = _other_class_counts(rows, label_col, id_col, vec_col, k, block_rows).where(F.col(label_col).isin(list(extra)))
+    around = _other_class_counts(rows, label_col, id_col, vec_col, k, block_rows, search).where(F.col(label_col).isin(list(extra)))
     around = cut_lineage(around.withColumn("key", F.concat_ws("|", label_col, "others")))
     table = around.groupBy(label_col, "others", "key").agg(F.count("*").alias("n")).collect()
     base, more = {}, {}
@@ -209,41 +220,41 @@ def adasyn(df: DataFrame, label_col: str, id_col: str, vec_col: str, k: int = K_
     drawn = seeds.join(ranked, "base").withColumn("s", F.col("__rank") * width + F.col("turn"))
     drawn = drawn.withColumn("rank", (hash_int(seed, F.col(label_col), F.col("s"), F.lit("n")) % k + 1).cast("int"))
     grown = rows.where(F.col(label_col).isin(list(extra)))
-    near = knn(grown, id_col, vec_col, k, label_col, block_rows).select(F.col("id").alias("base"), "rank", "neighbor")
+    near = nearest(grown, id_col, vec_col, k, label_col, block_rows, search).select(F.col("id").alias("base"), "rank", "neighbor")
     pairs = drawn.join(near, ["base", "rank"]).select(label_col, "s", "base", "neighbor")
     return rows.unionByName(_mix(pairs, label_col, id_col, vec_col, grown, max(counts) + 1, seed))
 
 
 def danger_rows(df: DataFrame, label_col: str, id_col: str, vec_col: str, m: int = M_NEIGHBORS,
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """Rows with at least half, but not all, of their m nearest rows in another class."""
-    around = _other_class_counts(df, label_col, id_col, vec_col, m, block_rows)
+    around = _other_class_counts(df, label_col, id_col, vec_col, m, block_rows, search)
     return around.where((2 * F.col("others") >= m) & (F.col("others") < m)).select(id_col, label_col)
 
 
 def borderline_smote(df: DataFrame, label_col: str, id_col: str, vec_col: str, targets: dict | None = None,
-                     k: int = K_NEIGHBORS, m: int = M_NEIGHBORS, seed=SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                     k: int = K_NEIGHBORS, m: int = M_NEIGHBORS, seed=SEED, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """As ``smote``, with seeds from the danger rows only; a class without any is left as it is."""
     rows = _plain(df, label_col, id_col, vec_col)
     counts = class_counts(rows, label_col)
     if not over_feasible(counts, targets, k):
         return rows
     extra = {c: n for c, n in _missing(counts, targets).items() if n > 0}
-    danger = danger_rows(rows, label_col, id_col, vec_col, m, block_rows).where(F.col(label_col).isin(list(extra)))
+    danger = danger_rows(rows, label_col, id_col, vec_col, m, block_rows, search).where(F.col(label_col).isin(list(extra)))
     danger = cut_lineage(danger)
     sizes = class_counts(danger, label_col)
     extra = {c: n for c, n in extra.items() if sizes.get(c)}
     if not extra:
         return rows
     grown = rows.where(F.col(label_col).isin(list(extra)))
-    near = knn(grown, id_col, vec_col, k, label_col, block_rows)
+    near = nearest(grown, id_col, vec_col, k, label_col, block_rows, search)
     ranked = hash_rank(danger, [label_col], id_col, "__rank", seed)
     pairs = _seeded(ranked, extra, sizes, near, label_col, id_col, k, seed)
     return rows.unionByName(_mix(pairs, label_col, id_col, vec_col, grown, max(counts) + 1, seed))
 
 
 def hybrid_resample(df: DataFrame, label_col: str, id_col: str, vec_col: str, under: dict | None = None,
-                    over: dict | None = None, seed=SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    over: dict | None = None, seed=SEED, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """Cut the large class, then synthesise the small ones; a step that cannot be met is skipped."""
     under = UNDER_TARGETS if under is None else under
     over = OVER_TARGETS if over is None else over
@@ -251,12 +262,12 @@ def hybrid_resample(df: DataFrame, label_col: str, id_col: str, vec_col: str, un
     counts = class_counts(rows, label_col)
     if all(c in counts and t <= counts[c] for c, t in under.items()):
         rows = random_under(rows, label_col, id_col, under, seed)
-    return smote(rows, label_col, id_col, vec_col, over, seed=seed, block_rows=block_rows)
+    return smote(rows, label_col, id_col, vec_col, over, seed=seed, block_rows=block_rows, search=search)
 
 
-def tomek_links(df: DataFrame, label_col: str, id_col: str, vec_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def tomek_links(df: DataFrame, label_col: str, id_col: str, vec_col: str, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """(id, neighbor) of mutually nearest rows of different classes, both directions."""
-    near = knn(df, id_col, vec_col, 1, None, block_rows).select("id", "neighbor")
+    near = nearest(df, id_col, vec_col, 1, None, block_rows, search).select("id", "neighbor")
     back = near.select(F.col("neighbor").alias("id"), F.col("id").alias("neighbor"))
     labels = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("a"))
     others = df.select(F.col(id_col).alias("neighbor"), F.col(label_col).alias("b"))
@@ -264,26 +275,26 @@ def tomek_links(df: DataFrame, label_col: str, id_col: str, vec_col: str, block_
     return mutual.join(labels, "id").join(others, "neighbor").where(F.col("a") != F.col("b")).select("id", "neighbor")
 
 
-def drop_tomek(df: DataFrame, label_col: str, id_col: str, vec_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    links = tomek_links(df, label_col, id_col, vec_col, block_rows).select(F.col("id").alias(id_col))
+def drop_tomek(df: DataFrame, label_col: str, id_col: str, vec_col: str, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
+    links = tomek_links(df, label_col, id_col, vec_col, block_rows, search).select(F.col("id").alias(id_col))
     return df.join(links, id_col, "left_anti")
 
 
 def enn_clean(df: DataFrame, label_col: str, id_col: str, vec_col: str, k: int = ENN_NEIGHBORS,
-              block_rows: int = BLOCK_ROWS) -> DataFrame:
+              block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
     """Rows whose k nearest rows all share their class."""
-    mixed = _other_class_counts(df, label_col, id_col, vec_col, k, block_rows).where(F.col("others") > 0)
+    mixed = _other_class_counts(df, label_col, id_col, vec_col, k, block_rows, search).where(F.col("others") > 0)
     return df.join(mixed.select(id_col), id_col, "left_anti")
 
 
-def smote_tomek(df: DataFrame, label_col: str, id_col: str, vec_col: str, seed=SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    grown = cut_lineage(smote(df, label_col, id_col, vec_col, seed=seed, block_rows=block_rows))
-    return drop_tomek(grown, label_col, id_col, vec_col, block_rows)
+def smote_tomek(df: DataFrame, label_col: str, id_col: str, vec_col: str, seed=SEED, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
+    grown = cut_lineage(smote(df, label_col, id_col, vec_col, seed=seed, block_rows=block_rows, search=search))
+    return drop_tomek(grown, label_col, id_col, vec_col, block_rows, search)
 
 
-def smote_enn(df: DataFrame, label_col: str, id_col: str, vec_col: str, seed=SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    grown = cut_lineage(smote(df, label_col, id_col, vec_col, seed=seed, block_rows=block_rows))
-    return enn_clean(grown, label_col, id_col, vec_col, block_rows=block_rows)
+def smote_enn(df: DataFrame, label_col: str, id_col: str, vec_col: str, seed=SEED, block_rows: int = BLOCK_ROWS, search: str = "exact") -> DataFrame:
+    grown = cut_lineage(smote(df, label_col, id_col, vec_col, seed=seed, block_rows=block_rows, search=search))
+    return enn_clean(grown, label_col, id_col, vec_col, block_rows=block_rows, search=search)
 
 
 METHODS = {

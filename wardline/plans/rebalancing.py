@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from wardline.functions.hashing import sql_hash_hex, sql_hash_int, sql_hash_unit
 from wardline.operators import resample
+from wardline.operators.hashsearch import knn_lsh, knn_some, recall
 from wardline.operators.neighbors import knn
 from wardline.operators.ordering import class_counts
 from wardline.plans.common import soc
 from wardline.plans.registry import query, r6, violations
+from wardline.session import cut_lineage
 from wardline.sources import views
 
 VEC = "soc_vectors"
@@ -104,6 +106,26 @@ def _(spark, folder):
     return knn(vectors(spark, folder), "event_id", "features", 10)
 
 
+@query("knn_lsh", f"""SELECT count(*) AS n_queries, 1 AS recall_reached, 0 AS n_wrong, (SELECT count(*) * 5 FROM ({views.sql_of(VEC)}) a) AS n_rows
+FROM ({views.sql_of(VEC)}) v WHERE event_id % 50 = 0""")
+def _(spark, folder):
+    """Recall of the hashed search on every id divisible by 50, against all rows of its class."""
+    rows = vectors(spark, folder)
+    found = cut_lineage(knn_lsh(rows, "event_id", "features", 5, "label_idx"))
+    exact = knn_some(rows.where("event_id % 50 = 0"), rows, "event_id", "features", 5, "label_idx")
+    seen = recall(found, exact)
+    return seen.crossJoin(F.broadcast(found.agg(F.count("*").alias("n_rows")))).select(
+        "n_queries", (F.col("recall") >= 0.9).cast("int").alias("recall_reached"), "n_wrong", "n_rows")
+
+
+@query("smote_hashed", f"""WITH {VEC} AS ({views.sql_of(VEC)}), counts AS (SELECT label_idx, count(*) AS n FROM {VEC} GROUP BY label_idx)
+SELECT label_idx, max(n) OVER () AS n_rows, max(n) OVER () - n AS n_synthetic, 0 AS n_off_segment FROM counts""")
+def _(spark, folder):
+    """Classes end equal, and every synthetic row lies on a segment between two rows of its class."""
+    rows = vectors(spark, folder)
+    return _class_report(rows, resample.smote(rows, "label_idx", "event_id", "features", search="hashed"))
+
+
 @query("smote", VECTORS + f", {sql_smote('grown', 'vecs', EQUAL)} {ROWS} grown")
 def _(spark, folder):
     return micro(resample.smote(vectors(spark, folder), "label_idx", "event_id", "features"))
