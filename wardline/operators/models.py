@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
-    MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier,
     RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import arrays
 from wardline.operators import metrics
+from wardline.operators.perceptron import Perceptron
 from wardline.operators.resample import with_class_weight
 from wardline.operators.sampling import stratified_kfold
 from wardline.session import spread
@@ -33,7 +33,7 @@ DEFAULTS = {
     "random_forest": {"num_trees": 200, "max_depth": 20, "min_leaf": 4, "balanced": True},
     "gbt_ovr": {"rounds": 200, "max_depth": 8, "step": 0.05, "subsample": 0.8, "columns": "0.8", "balanced": False},
     "gbt_ovr_balanced": {"rounds": 300, "max_depth": 10, "step": 0.05, "subsample": 0.8, "columns": "0.8", "balanced": True},
-    "mlp": {"hidden": [256, 128, 64], "block": 256, "step": 0.001, "max_iter": 200, "balanced": False},
+    "mlp": {"hidden": [256, 128, 64], "batch": 256, "step": 0.001, "max_iter": 200, "patience": 15, "balanced": False},
     "logistic": {"c": 1.0, "max_iter": 2000, "balanced": True},
 }
 
@@ -58,6 +58,8 @@ class Fitted:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``probability`` and ``pred``; a per-row projection, whatever the model."""
+        if self.kind == "mlp":
+            return self.parts[0].predict(df)
         if self.kind.startswith("gbt"):
             columns = []
             for i, model in enumerate(self.parts):
@@ -77,16 +79,20 @@ class Fitted:
 
     def save(self, spark: SparkSession, path: str) -> None:
         for i, model in enumerate(self.parts):
-            model.write().overwrite().save(f"{path}/part_{i}")
+            if self.kind == "mlp":
+                model.save(spark, f"{path}/part_{i}")
+            else:
+                model.write().overwrite().save(f"{path}/part_{i}")
         save_meta(spark, f"{path}/meta", {"kind": self.kind, "k": self.k, "n": len(self.parts), "params": self.params})
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Fitted":
         meta = load_meta(spark, f"{path}/meta")
+        if meta["kind"] == "mlp":
+            return cls("mlp", meta["k"], [Perceptron.load(spark, f"{path}/part_0")], meta["params"])
         reader = {
             "random_forest": RandomForestClassificationModel, "gbt_ovr": GBTClassificationModel,
-            "gbt_ovr_balanced": GBTClassificationModel, "mlp": MultilayerPerceptronClassificationModel,
-            "logistic": LogisticRegressionModel,
+            "gbt_ovr_balanced": GBTClassificationModel, "logistic": LogisticRegressionModel,
         }[meta["kind"]]
         return cls(meta["kind"], meta["k"], [reader.load(f"{path}/part_{i}") for i in range(meta["n"])], meta["params"])
 
@@ -119,14 +125,13 @@ class Classifier:
         if self.kind.startswith("gbt"):
             return Fitted(self.kind, self.k, self._fit_one_vs_rest(kept, p, weight), p)
         if self.kind == "mlp":
-            width = kept.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
-            est = MultilayerPerceptronClassifier(
-                labelCol="__y", featuresCol="features", layers=[width, *p["hidden"], self.k], blockSize=p["block"],
-                stepSize=p["step"], maxIter=p["max_iter"], seed=self.seed,
-            )
-            if p.get("initial_weights") is not None:
-                est = est.setInitialWeights(p["initial_weights"])
-            return Fitted(self.kind, self.k, [est.fit(kept)], {**p, "initial_weights": None})
+            start = p.get("start")
+            if start is None:
+                width = kept.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
+                start = Perceptron([width, *p["hidden"], self.k], p["step"], p["batch"], self.seed)
+            own = Perceptron.from_meta({**start.to_meta(), "history": [], "stop_epoch": -1})
+            own.fit(kept, "__y", p["max_iter"], p["patience"])
+            return Fitted(self.kind, self.k, [own], {**p, "start": None})
         if self.kind == "logistic":
             est = LogisticRegression(
                 labelCol="__y", featuresCol="features", family="multinomial", maxIter=p["max_iter"],

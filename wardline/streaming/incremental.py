@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions import arrays
+from wardline.functions.hashing import SEED
 from wardline.operators.models import Classifier, Fitted
+from wardline.operators.perceptron import Perceptron
 from wardline.operators.sampling import shuffle_batches
 from wardline.session import cut_lineage
 from wardline.sources.state import save_meta
@@ -57,6 +59,7 @@ class SgdLogistic:
     weights: list = field(default_factory=list)
     steps: int = 0
     last_batch: int = -1
+    name: str = "logistic"
 
     def __post_init__(self):
         if not self.weights:
@@ -77,6 +80,13 @@ class SgdLogistic:
         step = self.rate / (1.0 + self.decay * self.steps)
         self.weights = (w - step * gradient.reshape(w.shape)).tolist()
 
+    def to_meta(self) -> dict:
+        return dict(self.__dict__)
+
+    @classmethod
+    def from_meta(cls, meta: dict) -> "SgdLogistic":
+        return cls(**meta)
+
     def predict(self, df: DataFrame) -> DataFrame:
         x = vector_to_array("features")
         scores = [
@@ -106,17 +116,41 @@ def incremental_train(df: DataFrame, label_col: str, id_col: str, k: int, width:
     return model
 
 
+# Hidden layers and rate of the incremental network.
+HIDDEN = [256, 128, 64]
+RATE = 0.001
+
+
+def incremental_perceptron(df: DataFrame, label_col: str, k: int, width: int, batch_size: int = BATCH_SIZE, epochs: int = EPOCHS,
+                           hidden: list[int] | None = None, rate: float = RATE, state_path: str | None = None,
+                           seed: int = SEED) -> Perceptron:
+    """Epochs of mini-batches of a rectified-linear network, one job each however many batches there are.
+
+    With ``state_path`` the network is stored after every epoch under its number, and a new
+    call goes on from the newest stored one until ``epochs`` are done.
+    """
+    spark = df.sparkSession
+    model = restore(spark, state_path) if state_path else None
+    if model is None:
+        model = Perceptron([width, *(HIDDEN if hidden is None else hidden), k], rate, batch_size, seed)
+    rows, tasks = model.prepared(df, label_col)
+    while model.steps < epochs:
+        model.epoch(rows, tasks)
+        if state_path:
+            save_meta(spark, f"{state_path}/batch={model.steps}", model.to_meta())
+    return model
+
+
 def warm_start_mlp(classifier: Classifier, df: DataFrame, label_col: str, previous: Fitted | None) -> Fitted:
     """One more round of perceptron training, starting from the previous weights."""
     params = dict(classifier.params)
     if previous is not None:
-        params["initial_weights"] = previous.parts[0].weights
+        params["start"] = previous.parts[0]
     return Classifier("mlp", params, classifier.k, classifier.seed).fit(df, label_col)
 
 
-def stream_incremental_train(spark: SparkSession, stream: DataFrame, model: SgdLogistic, label_col: str, state_path: str,
-                             checkpoint: str) -> SgdLogistic:
-    """Every micro-batch updates the model once.
+def stream_incremental_train(spark: SparkSession, stream: DataFrame, model, label_col: str, state_path: str, checkpoint: str):
+    """Every micro-batch updates the model once, a ``SgdLogistic`` or a ``Perceptron``.
 
     Weights and batch number are stored together under the number of the batch, so a replayed
     batch is recognised and skipped, a restart goes on from the newest stored model, and a
@@ -131,14 +165,14 @@ def stream_incremental_train(spark: SparkSession, stream: DataFrame, model: SgdL
             return
         model.partial_fit(batch, label_col)
         model.last_batch = batch_id
-        save_meta(spark, f"{state_path}/batch={batch_id}", model.__dict__)
+        save_meta(spark, f"{state_path}/batch={batch_id}", model.to_meta())
 
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return model
 
 
-def restore(spark: SparkSession, state_path: str) -> SgdLogistic | None:
+def restore(spark: SparkSession, state_path: str) -> SgdLogistic | Perceptron | None:
     """The newest stored model, or None where none is stored yet."""
     try:
         states = spark.read.option("basePath", state_path).text(f"{state_path}/batch=*")
@@ -147,4 +181,7 @@ def restore(spark: SparkSession, state_path: str) -> SgdLogistic | None:
             raise
         return None
     newest = states.orderBy(F.col("batch").cast("bigint").desc()).first()
-    return SgdLogistic(**json.loads(newest["value"])) if newest else None
+    if newest is None:
+        return None
+    meta = json.loads(newest["value"])
+    return (Perceptron if meta.get("name") == "perceptron" else SgdLogistic).from_meta(meta)
