@@ -1,18 +1,20 @@
 """Cross-tokenizer alignment: which tokens of one tokenizer cover the bytes of which of another.
 
 Both tokenizers cut a text at the same spaces, so distinct segments between such spaces are
-encoded and aligned once per task. The distinct token pairs of the corpus get a minimal perfect
-hash, built in buckets; a pass over all documents counts, in dense vectors indexed by that hash and
-summed over all tasks, how many documents hold each pair; a last pass aligns the documents again
-and looks the counts up.
+encoded and aligned once per task. A first pass over the documents keeps the distinct pairs of
+each. The distinct pairs of the corpus get a minimal perfect hash, built in buckets, and dense
+vectors indexed by that hash, summed over all tasks, count how many documents hold each pair. A
+second pass aligns the documents again and looks the counts up.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +23,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.base import pick, stored
+from wardline.llm.base import pick, settings, stored
 from wardline.llm.segments import Memo, held, mixed, ragged, segment_starts, slices, utf8_bytes
-from wardline.llm.trees import PART, part_row, tree_sum
+from wardline.operators.trees import PART, part_row, tree_sum
 
 #: Bits of a hash level per key, keys of a bucket, segments and link bytes remembered by a worker.
 GAMMA, BUCKET_KEYS, MOST_SEGMENTS, MOST_BYTES = 2, 4096, 300_000, 48 << 20
 
 
+#: How byte-level pre-tokenizers cut a text (fixed value).
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 # --- minimal perfect hash ---------------------------------------------------------------
 
 def _level(keys: np.ndarray, level: int) -> np.ndarray:
@@ -137,6 +143,40 @@ class _Vocabulary:
         return ragged(self.offsets, self.data, ids)[0]
 
 
+def _a_encoder(path: str):
+    """(ids of a list of texts, bytes of each id) of a byte-level BPE file.
+
+    Where the ids of the file count its merges in order, as byte-level vocabularies do, they are
+    ranks, and a rank encoder gives the same ids several times faster; any other file goes
+    through its own library.
+    """
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True  # their strings are plain text
+    letter, entries = _letters(), library.get_vocab(with_added_tokens=True)
+    names: list[str] = [""] * (max(entries.values()) + 1)
+    for token, i in entries.items():
+        names[i] = token
+    tokens = [bytes(letter.get(c, 0) for c in t) for t in names]
+    with open(path, encoding="utf-8") as lines:
+        whole = json.load(lines)
+    model, cut = whole["model"], whole["pre_tokenizer"] or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    vocabulary = model["vocab"]
+    ranked = (
+        model["type"] == "BPE" and whole["normalizer"] is None and whole["post_processor"] is None and not model.get("dropout")
+        and not model.get("ignore_merges") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+        and not cut["add_prefix_space"] and len(vocabulary) == 256 + len(merges)
+        and all(vocabulary.get(x + y) == 256 + i for i, (x, y) in enumerate(merges)))
+    if not ranked:
+        return lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)], tokens
+    import tiktoken
+
+    core = tiktoken.Encoding("own", pat_str=BYTE_LEVEL, mergeable_ranks={tokens[i]: i for i in vocabulary.values()}, special_tokens={})
+    return lambda texts: list(map(core._core_bpe.encode_ordinary, texts)), tokens
+
+
 class Aligner:
     """Both tokenizers, and what is known of the segments met since the last reset.
 
@@ -148,15 +188,10 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str, texts: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a, self.b, self.texts = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), texts
-        self.a.encode_special_tokens = True  # their strings are plain text
-        letter, entries = _letters(), self.a.get_vocab(with_added_tokens=True)
-        names: list[str] = [""] * (max(entries.values()) + 1)
-        for token, i in entries.items():
-            names[i] = token
-        self.a_bytes = _Vocabulary([bytes(letter.get(c, 0) for c in t) for t in names])
+
+        self.b, self.texts = sentencepiece.SentencePieceProcessor(model_file=b_path), texts
+        self.a_ids, a_tokens = _a_encoder(a_path)
+        self.a_bytes = _Vocabulary(a_tokens)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = _Vocabulary([
             bytes([int(re.fullmatch("<0x(..)>", p)[1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
@@ -191,10 +226,9 @@ class Aligner:
 
     def _learn(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts, n = [s.decode() for s in segments], len(segments)
-        a_ids = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b_ids = self._b_ids(texts)
-        n_a, n_b = np.array([len(x) for x in a_ids]), np.array([len(x) for x in b_ids])
-        a, b = np.fromiter((i for x in a_ids for i in x), np.int64), np.fromiter((i for x in b_ids for i in x), np.int64)
+        a_ids, b_ids = self.a_ids(texts), self._b_ids(texts)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(m.sum())) for x, m in ((a_ids, n_a), (b_ids, n_b)))
         good, flat = np.ones(n, bool), np.frombuffer(b"".join(segments), np.uint8)
         if not (np.array_equal(self.a_bytes.joined(a), flat) and np.array_equal(self.b_bytes.joined(b), flat)):
             a_at, b_at = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
@@ -263,26 +297,48 @@ def _whole(good: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 # --- passes over the documents ----------------------------------------------------------
 
-def distinct_pairs(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """``pair``: each linked (A id << 32 | B id) of the corpus once. ``rows``: text in the last column."""
+def document_pairs(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """``pairs``: the distinct linked (A id << 32 | B id) of each document that both tokenizers keep.
+
+    ``rows``: text in the last column.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = _aligner(a_path, b_path, False)
         align.reset()
-
-        def found() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.unique(align.column("links")))], names=["pair"])
-
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             for i, j in slices(texts, 2 << 20):
                 if align.full:
-                    yield found()
                     align.reset()
-                align.rows(texts.slice(i, j - i))
-        yield found()
+                found, at = align.rows(texts.slice(i, j - i))
+                links = align.column("links")
+                codes, numbers = np.unique(links, return_inverse=True)
+                whole = np.repeat(_whole(align.column("good")[found], at), np.diff(at))
+                doc = np.repeat(np.arange(len(at) - 1), np.diff(at))[whole]
+                # each distinct segment of a document once, then each distinct pair of it
+                once = np.unique(doc * np.int64(align.met + 1) + found[whole])
+                doc, segment = once // (align.met + 1), once % (align.met + 1)
+                own, ends = ragged(align.offsets("n_links"), numbers, segment)
+                own = np.unique(np.repeat(doc, np.diff(ends)) * np.int64(len(codes) + 1) + own)
+                ends = np.searchsorted(own // (len(codes) + 1), np.arange(len(at)))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(codes[own % (len(codes) + 1)], pa.int64()))], names=["pairs"])
         align.reset()
 
-    return rows.mapInArrow(run, "pair long").distinct()
+    return rows.mapInArrow(run, "pairs array<long>")
+
+
+def _flat(batch: pa.RecordBatch) -> np.ndarray:
+    return pa.concat_arrays([batch.column(0)]).flatten().to_numpy(zero_copy_only=False)
+
+
+def distinct_pairs(lists: DataFrame) -> DataFrame:
+    """``pair``: each pair of the corpus once; those of a batch meet before the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_flat(batch)), pa.int64())], names=["pair"])
+
+    return lists.mapInArrow(run, "pair long").distinct()
 
 
 _BUCKET = "bucket long, n long, sizes array<long>, words binary, keys binary"
@@ -306,35 +362,18 @@ def hash_table(pairs: DataFrame, buckets: int) -> DataFrame:
     return pairs.mapInArrow(deal, "pair long, bucket long").groupBy("bucket").applyInArrow(make, _BUCKET)
 
 
-def _counts(rows: DataFrame, index, length: int, a_path: str, b_path: str) -> np.ndarray:
+def _counts(lists: DataFrame, index, length: int) -> np.ndarray:
     """In how many documents each pair of the index is linked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align, known, total = _aligner(a_path, b_path, False), index.value, np.zeros(length, np.int64)
-        align.reset()
-        hashes = np.zeros(0, np.int64)
+        known, total = index.value, np.zeros(length, np.int64)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            for i, j in slices(texts, 2 << 20):
-                if align.full:
-                    align.reset()
-                    hashes = np.zeros(0, np.int64)
-                found, at = align.rows(texts.slice(i, j - i))
-                links = align.column("links")
-                hashes = np.append(hashes, known.find(links[len(hashes):]))
-                whole = np.repeat(_whole(align.column("good")[found], at), np.diff(at))
-                doc = np.repeat(np.arange(len(at) - 1), np.diff(at))[whole]
-                # each distinct segment of a document once, then each distinct pair of it
-                once = np.unique(doc * np.int64(align.met + 1) + found[whole])
-                doc, segment = once // (align.met + 1), once % (align.met + 1)
-                pairs, ends = ragged(align.offsets("n_links"), hashes, segment)
-                doc = np.repeat(doc, np.diff(ends))
-                inside = pairs >= 0
-                held_by = np.unique(doc[inside] * np.int64(length) + pairs[inside]) % max(length, 1)
-                total += np.bincount(held_by, minlength=length)
-        align.reset()
+            flat = _flat(batch)
+            for a in range(0, len(flat), 1 << 20):
+                place = known.find(flat[a:a + (1 << 20)])
+                total += np.bincount(place[place >= 0], minlength=length)
         yield part_row(TaskContext.get().partitionId(), total)
 
-    return tree_sum(rows.mapInArrow(run, PART), length, "i8")
+    return tree_sum(lists.mapInArrow(run, PART), length, "i8")
 
 
 _OUT = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -408,11 +447,13 @@ def _index(spark: SparkSession, table: DataFrame, buckets: int, block: tuple[int
 def count_pairs(rows: DataFrame, a_path: str, b_path: str, block_pairs: int = 4_000_000) -> Counted:
     """Distinct pairs hashed in buckets, and counted block by block.
 
-    One pass over the documents serves ``block_pairs`` pairs, so that what is broadcast and what
-    a task adds up stays of one size; more pairs take more passes.
+    One pass over the pairs of the documents serves ``block_pairs`` of them, so that what is
+    broadcast and what a task adds up stays of one size; more pairs take more passes.
     """
     spark = rows.sparkSession
-    pairs = stored(distinct_pairs(rows, a_path, b_path), "pairs")
+    with settings(spark, spark__sql__parquet__compression__codec="zstd"):
+        lists = stored(document_pairs(rows, a_path, b_path), "lists")
+    pairs = stored(distinct_pairs(lists), "pairs")
     buckets = max(1, -(-pairs.count() // BUCKET_KEYS))
     table = stored(hash_table(pairs, buckets), "hash")
     sizes = {r["bucket"]: r["n"] for r in table.select("bucket", "n").collect()}  # one number per 4,096 pairs
@@ -429,7 +470,7 @@ def count_pairs(rows: DataFrame, a_path: str, b_path: str, block_pairs: int = 4_
     for k, block in enumerate(blocks):
         index = _index(spark, table, buckets, block)
         shared = spark.sparkContext.broadcast(index)
-        total = _counts(rows, shared, block[2], a_path, b_path)
+        total = _counts(lists, shared, block[2])
         shared.unpersist()
         ids = index.keys >> 32
         if len(ids):
