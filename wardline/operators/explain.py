@@ -100,8 +100,11 @@ def shap_tree(model, df: DataFrame, id_col: str, feature_names: list[str], class
               max_rows: int | None = None, leaves_per_pass: int = LEAVES_PER_PASS) -> tuple[DataFrame, float]:
     """(id, feature, phi) for a forest (class probability) or one boosted model (margin), and the base value."""
     spark = df.sparkSession
-    weights = [float(w) for w in model.treeWeights] if type(model).__name__.startswith("GBT") else []
-    leaves = _leaves(spark, model, class_index, weights)
+    if hasattr(model, "leaves"):
+        leaves = model.leaves(class_index)
+    else:
+        weights = [float(w) for w in model.treeWeights] if type(model).__name__.startswith("GBT") else []
+        leaves = _leaves(spark, model, class_index, weights)
     base = sum(leaf["value"] * float(np.prod([p[2] for p in leaf["path"].values()])) for leaf in leaves)
     rows = spread(limited(df, id_col, max_rows).select(id_col, vector_to_array("features").alias("x")))
     width = len(feature_names)
@@ -231,7 +234,7 @@ def explain(model, train: DataFrame, val: DataFrame, id_col: str, feature_names:
     rows = {n: limits[n] for n in ("max_rows",) if n in limits}
     for method in methods:
         kind = getattr(model, "kind", "")
-        if method == "shap" and (kind == "random_forest" or kind.startswith("gbt")):
+        if method == "shap" and (kind in ("random_forest", "leafwise") or kind.startswith("gbt")):
             part = model.parts[TARGET_CLASS if kind.startswith("gbt") else 0]
             phi, _base = shap_tree(part, val, id_col, feature_names, **rows)
             name, table = "shap_tree", mean_absolute(phi)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import arrays
 from wardline.operators import metrics
+from wardline.operators.leafwise import Leafwise
 from wardline.operators.perceptron import Perceptron
 from wardline.operators.resample import with_class_weight
 from wardline.operators.sampling import stratified_kfold
@@ -34,9 +35,13 @@ DEFAULTS = {
     "gbt_ovr": {"rounds": 200, "max_depth": 8, "step": 0.05, "subsample": 0.8, "columns": "0.8", "balanced": False},
     "gbt_ovr_balanced": {"rounds": 300, "max_depth": 10, "step": 0.05, "subsample": 0.8, "columns": "0.8", "balanced": True},
     "mlp": {"hidden": [256, 128, 64], "batch": 256, "step": 0.001, "max_iter": 200, "patience": 15, "balanced": False},
+    "leafwise": {"rounds": 300, "max_depth": 10, "num_leaves": 63, "step": 0.05, "subsample": 0.8, "columns": 0.8, "balanced": True},
     "logistic": {"c": 1.0, "max_iter": 2000, "balanced": True},
 }
 
+#: Models that are not MLlib's.
+OWN = {"mlp": Perceptron, "leafwise": Leafwise}
+
 
 def forest(label_col: str, num_trees: int = 200, max_depth: int = 20, min_leaf: int = 4,
            weight_col: str | None = None, seed: int = 42) -> RandomForestClassifier:
@@ -58,7 +63,7 @@ class Fitted:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``probability`` and ``pred``; a per-row projection, whatever the model."""
-        if self.kind == "mlp":
+        if self.kind in OWN:
             return self.parts[0].predict(df)
         if self.kind.startswith("gbt"):
             columns = []
@@ -79,7 +84,7 @@ class Fitted:
 
     def save(self, spark: SparkSession, path: str) -> None:
         for i, model in enumerate(self.parts):
-            if self.kind == "mlp":
+            if self.kind in OWN:
                 model.save(spark, f"{path}/part_{i}")
             else:
                 model.write().overwrite().save(f"{path}/part_{i}")
@@ -88,8 +93,8 @@ class Fitted:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Fitted":
         meta = load_meta(spark, f"{path}/meta")
-        if meta["kind"] == "mlp":
-            return cls("mlp", meta["k"], [Perceptron.load(spark, f"{path}/part_0")], meta["params"])
+        if meta["kind"] in OWN:
+            return cls(meta["kind"], meta["k"], [OWN[meta["kind"]].load(spark, f"{path}/part_0")], meta["params"])
         reader = {
             "random_forest": RandomForestClassificationModel, "gbt_ovr": GBTClassificationModel,
             "gbt_ovr_balanced": GBTClassificationModel, "logistic": LogisticRegressionModel,
@@ -132,6 +137,9 @@ class Classifier:
             own = Perceptron.from_meta({**start.to_meta(), "history": [], "stop_epoch": -1})
             own.fit(kept, "__y", p["max_iter"], p["patience"])
             return Fitted(self.kind, self.k, [own], {**p, "start": None})
+        if self.kind == "leafwise":
+            sizes = {n: p[n] for n in ("rounds", "max_depth", "num_leaves", "step", "subsample", "columns")}
+            return Fitted(self.kind, self.k, [Leafwise(self.k, seed=self.seed, **sizes).fit(kept, "__y", weight)], p)
         if self.kind == "logistic":
             est = LogisticRegression(
                 labelCol="__y", featuresCol="features", family="multinomial", maxIter=p["max_iter"],

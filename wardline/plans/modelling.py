@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions import arrays
 from wardline.functions.hashing import sql_hash_unit
 from wardline.operators import ensemble, explain, features, models, prep, resample, sampling, tuning
 from wardline.operators.perceptron import Perceptron
@@ -31,6 +32,7 @@ SMALL = {
     "gbt_ovr": {"rounds": 5, "max_depth": 4},
     "gbt_ovr_balanced": {"rounds": 5, "max_depth": 5},
     "mlp": {},
+    "leafwise": {"rounds": 8},
     "logistic": {"max_iter": 50},
 }
 
@@ -103,6 +105,18 @@ def _(spark, folder):
     return model_report(model.predict(val)).withColumn("stopped_in_time", F.lit(int(kept)))
 
 
+@query("leafwise", VAL_ROWS.replace("1 AS beats_majority", "1 AS beats_majority, 1 AS loss_falls, 0 AS n_bad_trees"))
+def _(spark, folder):
+    """Full trees of 63 leaves and depth 10, fewer rounds; the loss falls with every round."""
+    train, val = both_sides(spark, folder)
+    model = small("leafwise").fit(train)
+    net = model.parts[0]
+    falls = all(b < a for a, b in zip(net.losses, net.losses[1:]))
+    bad = sum(sum(f < 0 for f in t.feature) > 63 or len(t.feature) != 2 * sum(f < 0 for f in t.feature) - 1
+              for trees in net.trees for t in trees)
+    return model_report(model.predict(val)).withColumns({"loss_falls": F.lit(int(falls)), "n_bad_trees": F.lit(bad)})
+
+
 @query("train_single", "SELECT 15 AS n_metrics, 0 AS n_out_of_range, 1 AS has_time")
 def _(spark, folder):
     train, val = both_sides(spark, folder)
@@ -280,6 +294,22 @@ def _(spark, folder):
     return violations(reduce(DataFrame.unionByName, found), F.abs(F.col("total") - F.col("margin")) > 1e-6)
 
 
+@query("shap_tree_leafwise", f"SELECT count(*) * {K} AS n_rows, 0 AS n_violations FROM events")
+def _(spark, folder):
+    """Contributions of every event to the score of each class sum to it minus the base."""
+    rows = event_vectors(spark, folder).persist()
+    model = models.Classifier("leafwise", {"rounds": 4}, K).fit(rows).parts[0]
+    found = []
+    said = model.predict(rows).select("event_id", "probability")
+    for c in range(K):
+        phi, base = explain.shap_tree(model, rows, "event_id", MODEL_COLS, c, max_rows=None)
+        found.append(phi.groupBy("event_id").agg((F.sum("phi") + base).alias(f"m{c}")))
+    scores = found[0].join(found[1], "event_id").join(found[2], "event_id")
+    each = scores.withColumn("p", arrays.softmax(F.array(*[f"m{c}" for c in range(K)]))).join(said, "event_id")
+    cells = each.select(F.explode(F.zip_with("p", "probability", lambda a, b: F.abs(a - b))).alias("off"))
+    return violations(cells, F.col("off") > 1e-9)
+
+
 @query("shap_sampling", f"SELECT count(*) * {len(MODEL_COLS)} AS n_rows, 0 AS n_violations FROM events")
 def _(spark, folder):
     """Contributions of every event sum to its probability minus the mean of its background rows."""
