@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from wardline.operators import ensemble
@@ -33,6 +34,37 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     assert run(spark, source, checkpoint) == {0: 2, 10: 3}
 
 
+def test_distinct_targets_stay_exact_after_a_kill(spark, tmp_path):
+    """Targets met again in later batches count once; a run that dies between batches is resumed."""
+    source, checkpoint, out = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "out")
+    rows = []
+    for part in range(3):
+        own = [(START + timedelta(minutes=(7 * i + part) % 110), f"10.0.0.{i % 2}", None if i % 9 == 0 else f"d{(i + part) % 23}")
+               for i in range(80)]
+        spark.createDataFrame(own, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        rows += own
+    stream = lambda: spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+
+    def dies(batch, batch_id):
+        if batch_id == 1:
+            batch.count()
+            raise RuntimeError("killed")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    spark.conf.set(activity.PROVIDER, activity.ROCKS)
+    query = activity.windowed_activity(stream(), "ts").writeStream.outputMode("update").foreachBatch(dies).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+    spark.conf.unset(activity.PROVIDER)
+    got = activity.run_activity(spark, stream(), "ts", checkpoint, path=out).collect()
+    found = {(r["src_ip"], r["window_start"].hour): (r["events"], r["dst_ips"]) for r in got}
+    known = {}
+    for ts, src, dst in rows:
+        known.setdefault((src, ts.hour), []).append(dst)
+    assert found == {k: (len(v), len({d for d in v if d})) for k, v in known.items()}
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     rows = spark.createDataFrame([(i % 2, [float(i % 2), 1.0]) for i in range(40)], "y int, v array<double>")
     rows = rows.select("y", ensemble.array_to_vector("v").alias("features"))

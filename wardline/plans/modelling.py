@@ -354,13 +354,13 @@ def _stream_of(spark, df: DataFrame, files_per_batch: int = 1) -> DataFrame:
 
 
 @query("stream_ip_activity", views.ctes("soc") + f"""
-SELECT src_ip, strftime(date_trunc('hour', ts), {STAMP}) AS window_start, count(*) AS events
+SELECT src_ip, strftime(date_trunc('hour', ts), {STAMP}) AS window_start, count(*) AS events, count(DISTINCT dst_ip) AS dst_ips
 FROM soc WHERE src_ip IS NOT NULL GROUP BY src_ip, date_trunc('hour', ts)""")
 def _(spark, folder):
     stream = _stream_of(spark, soc(spark, folder).select("ts", "src_ip", "dst_ip"), 1000)
     out = activity.run_activity(spark, stream, "ts", scratch_path(spark, "stream-state"))
     start = F.date_format(F.col("window_start"), "yyyy-MM-dd HH:mm:ss")
-    return out.select("src_ip", start.alias("window_start"), "events")
+    return out.select("src_ip", start.alias("window_start"), "events", "dst_ips")
 
 
 @query("stream_incremental_train", "SELECT count(*) AS n_rows, 0 AS n_violations, 1 AS trained FROM events")
