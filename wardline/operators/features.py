@@ -7,13 +7,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSizeHint
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import pandas as pd
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSizeHint, VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators import ordering, prep, textfeat
+from wardline.operators import ordering, prep, sparsefeat, textfeat
 from wardline.operators.joins import lookup
 from wardline.sources.state import load_state, save_state
 
@@ -177,12 +178,17 @@ def select_by_mutual_info(df: DataFrame, cols: list[str], y: str, max_features:
 
 
 def select_by_model(df: DataFrame, cols: list[str], y: str, threshold: str | float = "mean",
-                    max_features: int = 500, num_trees: int = 50, max_depth: int = 10, seed: int = 42) -> DataFrame:
-    """(feature, importance) of a balanced forest: at least the threshold, at most ``max_features``."""
+                    max_features: int = 500, num_trees: int = 50, max_depth: int = 10, seed: int = 42,
+                    assembled: bool = False) -> DataFrame:
+    """(feature, importance) of a balanced forest: at least the threshold, at most ``max_features``.
+
+    ``assembled``: the columns are already the cells of a vector ``features``.
+    """
     from wardline.operators.models import forest
     from wardline.operators.resample import with_class_weight
 
-    rows = with_class_weight(assemble(df.select(y, *cols), cols, out="features"), y, "weight")
+    vectors = df.select(y, "features") if assembled else assemble(df.select(y, *cols), cols, out="features")
+    rows = with_class_weight(vectors, y, "weight")
     model = forest(y, num_trees=num_trees, max_depth=max_depth, min_leaf=1, weight_col="weight", seed=seed).fit(rows)
     scores = sorted(zip(cols, model.featureImportances.toArray()), key=lambda e: (-e[1], e[0]))
     values = np.array([v for _, v in scores])
@@ -225,9 +231,16 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 
 def sparse_vector(size: int):
-    """Column function (indices, weights) -> sparse vector of the given size."""
-    make = F.udf(lambda i, w: SparseVector(size, i or [], w or []), VectorUDT())
-    return lambda indices, weights: make(indices, weights)
+    """Column function (indices, weights) -> sparse vector of the given size, batch by batch."""
+    @F.pandas_udf(VectorUDT())
+    def make(indices: pd.Series, weights: pd.Series) -> pd.DataFrame:
+        # the stored form of a sparse vector: type 0, its size, filled cells and their values
+        none = np.zeros(0)
+        return pd.DataFrame({
+            "type": np.zeros(len(indices), np.int8), "size": np.full(len(indices), size, np.int32),
+            "indices": [none if x is None else x for x in indices], "values": [none if x is None else x for x in weights]})
+
+    return make
 
 
 @dataclass
@@ -252,19 +265,26 @@ class FeatureModel:
     def interaction_columns(self) -> list[str]:
         return [interaction_name(a, b) for a, b in self.interactions]
 
+    def text_columns(self) -> list[str]:
+        return [f"tfidf_{i}" for i in range(self.vocabulary_size)] if self.vocabulary is not None else []
+
+    def offered(self) -> list[str]:
+        """Everything that selection and components choose from, in final order, first duplicate kept."""
+        return list(dict.fromkeys([*self.base_columns(), *self.text_columns(), *self.interaction_columns()]))
+
     def scalar_columns(self) -> list[str]:
         """Named scalar outputs in final order, text excluded, first duplicate kept."""
-        if self.pca:
+        if self.pca and self.vocabulary is None:
             return [f"pca_{i}" for i in range(len(self.pca["components"][0]))]
-        if self.selected is not None:
+        if self.selected is not None and self.vocabulary is None:
             return list(self.selected)
         return list(dict.fromkeys([*self.base_columns(), *self.interaction_columns()]))
 
     def feature_names(self) -> list[str]:
-        text = [f"tfidf_{i}" for i in range(self.vocabulary_size)]
-        if self.pca or self.selected is not None:
-            return [*self.scalar_columns(), *text]
-        return list(dict.fromkeys([*self.base_columns(), *text, *self.interaction_columns()]))
+        """Names of the cells of the assembled vector."""
+        if self.pca:
+            return [f"pca_{i}" for i in range(len(self.pca["components"][0]))]
+        return list(self.selected) if self.selected is not None else self.offered()
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Scalar feature columns by name plus the sparse text arrays.
@@ -290,23 +310,52 @@ class FeatureModel:
         )
         products = [(_or_zero(out, a) * _or_zero(out, b)).alias(interaction_name(a, b)) for a, b in self.interactions]
         out = out.select("*", *products)
-        if self.selected is not None:
+        if self.selected is not None and not text:
             out = select_columns(out, self.selected, [*kept, *text])
-        if self.pca:
+        if self.pca and not text:
             out = pca_project(out, self.pca["columns"], self.pca["means"], np.array(self.pca["components"]), [*kept, *text])
         return out.select(*[c for c in out.columns if c not in text], *text)
 
     def assemble(self, features: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        """One vector per row; text stays sparse inside it."""
+        """One vector per row, its cells named by ``feature_names``; text stays sparse inside it.
+
+        Beside text, selection slices the whole vector and components are projected from it.
+        """
         kept = [self.id_col, *(keep or [])]
-        inputs = list(self.scalar_columns())
-        if self.vocabulary is not None:
-            vector = sparse_vector(self.vocabulary_size)(F.col("indices"), F.col("weights"))
-            hint = VectorSizeHint(inputCol="__text", size=self.vocabulary_size, handleInvalid="optimistic")
-            features = hint.transform(features.withColumn("__text", vector))
-            cut = len(inputs) if self.pca or self.selected is not None else len(self.base_columns())
-            inputs = inputs[:cut] + ["__text"] + inputs[cut:]
-        return assemble(features, inputs).select(*kept, "features")
+        if self.vocabulary is None:
+            return assemble(features, self.scalar_columns()).select(*kept, "features")
+        if self.pca:
+            scores = sparsefeat.project(np.array(self.pca["means"]), np.array(self.pca["components"]), features.sparkSession)
+            cells = self.cells(features, kept)
+            return cells.select(*kept, array_to_vector(scores("indices", "values")).alias("features"))
+        whole = self._whole(features).select(*kept, "features")
+        if self.selected is None:
+            return whole
+        place = {n: i for i, n in enumerate(self.offered())}
+        slicer = VectorSlicer(inputCol="features", outputCol="__picked", indices=[place[n] for n in self.selected])
+        return slicer.transform(whole).select(*kept, F.col("__picked").alias("features"))
+
+    def _whole(self, features: DataFrame) -> DataFrame:
+        """``features``: everything offered as one vector."""
+        inputs = self.scalar_columns()
+        vector = sparse_vector(self.vocabulary_size)(F.col("indices"), F.col("weights"))
+        hint = VectorSizeHint(inputCol="__text", size=self.vocabulary_size, handleInvalid="optimistic")
+        features = hint.transform(features.withColumn("__text", vector))
+        cut = len(self.base_columns())
+        return assemble(features, inputs[:cut] + ["__text"] + inputs[cut:])
+
+    def cells(self, features: DataFrame, kept: list[str]) -> DataFrame:
+        """``kept`` with ``indices`` and ``values`` of the filled cells of everything offered, in order of columns."""
+        place = {n: i for i, n in enumerate(self.offered())}
+        first = len(self.base_columns())
+        scalars = self.scalar_columns()
+        before, after = ([c for c in scalars if (place[c] < first) == side] for side in (True, False))
+        as_doubles = lambda names: F.array(*[F.col(c).cast("double") for c in names]).cast("array<double>")
+        at = lambda names: F.array(*[F.lit(place[c]) for c in names]).cast("array<int>")
+        text = F.coalesce("indices", F.array().cast("array<int>")), F.coalesce("weights", F.array().cast("array<double>"))
+        return features.select(
+            *kept, F.concat(at(before), F.transform(text[0], lambda i: (i + first).cast("int")), at(after)).alias("indices"),
+            F.concat(as_doubles(before), text[1], as_doubles(after)).alias("values"))
 
     def save(self, spark: SparkSession, path: str) -> None:
         state = {
@@ -369,17 +418,27 @@ def fit_features(df: DataFrame, cols: list[str], id_col: str, y: str | None = No
     )
     if selection or pca_features:
         kept = [y] if y else []
-        text_part = (model.vocabulary, model.vocabulary_size)
-        model.vocabulary = None
-        scalars = model.transform(df, kept)
-        names = model.scalar_columns()
+        out = model.transform(df, kept)
+        scalars, offered = model.scalar_columns(), model.offered()
         if selection == "model":
-            model.selected = [r["feature"] for r in select_by_model(scalars, names, y, threshold, max_features).collect()]
+            if vocabulary is None:
+                found = select_by_model(out, scalars, y, threshold, max_features)
+            else:
+                found = select_by_model(model._whole(out), offered, y, threshold, max_features, assembled=True)
+            model.selected = [r["feature"] for r in found.collect()]
         elif selection == "mutual_info":
-            model.selected = [r["feature"] for r in select_by_mutual_info(scalars, names, y, max_features).collect()]
-        if pca_features:
+            table = mutual_information(out, scalars, y)
+            if vocabulary is not None:
+                table = table.union(sparsefeat.presence_information(out, y, model.text_columns()))
+            model.selected = [r["feature"] for r in table.orderBy(F.desc("importance"), "feature").limit(max_features).collect()]
+        if pca_features and vocabulary is None:
             names = model.scalar_columns()
-            means, components, _ = fit_pca(select_columns(scalars, names, []), names, pca_features)
+            means, components, _ = fit_pca(select_columns(out, names, []), names, pca_features)
             model.pca = {"columns": names, "means": means.tolist(), "components": components.tolist()}
-        model.vocabulary, model.vocabulary_size = text_part
+        elif pca_features:
+            chosen = offered if model.selected is None else model.selected
+            taken = np.isin(offered, chosen)  # columns that were not selected take no part
+            means, components, _ = sparsefeat.sparse_pca(
+                model.cells(out, []).select("indices", "values"), len(offered), pca_features, taken)
+            model.pca = {"columns": chosen, "means": means.tolist(), "components": components.tolist()}
     return model
