@@ -16,7 +16,7 @@ from wardline.sources import views
 FRAME = views.ctes("soc_frame")
 HIGH, LOW = ["username", "src_ip"], ["product_name", "pipeline"]
 HIGH_CARD = 10  # keeps the column roles the same at every table size
-TEXT_TERMS = 500
+TEXT_TERMS = textfeat.MAX_FEATURES
 
 
 def sql_robust(c: str, value: str | None = None, source: str = "soc_frame") -> str:
@@ -180,19 +180,17 @@ def _(spark, folder):
 SELECT event_id, round(src_port * msg_len, 6) AS inter_src_port_msg_len, round(src_port * 0, 6) AS inter_src_port_gone FROM soc_frame""")
 def _(spark, folder):
     """Only the locked products are computed; a column that is gone counts as 0."""
-    model = features.FeatureModel("event_id", {}, {}, {}, [("src_port", "msg_len"), ("src_port", "gone")])
-    frame = soc_frame(spark, folder)
-    products = [(features._or_zero(frame, a) * features._or_zero(frame, b)).alias(n)
-                for (a, b), n in zip(model.interactions, model.interaction_columns())]
-    out = frame.select("event_id", *products)
+    model = features.FeatureModel("event_id", {"src_port": (0.0, 1.0), "msg_len": (0.0, 1.0)}, {}, {},
+                                  [("src_port", "msg_len"), ("src_port", "gone")])
+    out = model.transform(soc_frame(spark, folder))
     return out.select("event_id", *[r6(c).alias(c) for c in model.interaction_columns()])
 
 
 @query("select_by_model", "SELECT 1 AS within_limit, 0 AS below_threshold")
 def _(spark, folder):
     frame = soc_frame(spark, folder).select("label_idx", *FRAME_NUMERIC)
-    everything = features.select_by_model(frame, FRAME_NUMERIC, "label_idx", threshold=0.0, num_trees=20, max_depth=6)
-    kept = features.select_by_model(frame, FRAME_NUMERIC, "label_idx", threshold="mean", max_features=3, num_trees=20, max_depth=6)
+    everything = features.select_by_model(frame, FRAME_NUMERIC, "label_idx", threshold=0.0)
+    kept = features.select_by_model(frame, FRAME_NUMERIC, "label_idx", threshold="mean", max_features=3)
     cut = everything.agg(F.avg("importance").alias("cut"))
     return kept.join(F.broadcast(cut)).agg(
         (F.count("*").between(1, 3)).cast("int").alias("within_limit"),
@@ -255,14 +253,10 @@ FIT_COLS = [*FRAME_NUMERIC, *LOW, *HIGH]
 def fitted(spark, folder, text: bool = False, **options):
     frame = soc_frame(spark, folder)
     model = features.fit_features(
-        frame, FIT_COLS, "event_id", "label_idx", "message_sanitized" if text else None, high_card=HIGH_CARD,
-        top_interactions=2, max_text_features=100, **options)
+        frame, FIT_COLS, "event_id", "label_idx", "message_sanitized" if text else None, high_card=HIGH_CARD, **options)
     return frame, model
 
 
-TOP_PAIRS = [("src_port", "msg_len"), ("src_port", "num_value")]
-
-
 def sql_feature(c: str) -> str:
     if c in FRAME_NUMERIC:
         return sql_robust(c)
@@ -270,14 +264,13 @@ def sql_feature(c: str) -> str:
 
 
 FEATURE_SQL = FRAME + f""", {sql_target('username', 'te_user')}, {sql_target('src_ip', 'te_ip')},
-{sql_ranks('product_name', 'o_product')}, {sql_ranks('pipeline', 'o_pipe')}, {VARIANCES},
-top_pairs AS (SELECT name FROM variances ORDER BY variance DESC, name LIMIT 2),
+{sql_ranks('product_name', 'o_product')}, {sql_ranks('pipeline', 'o_pipe')},
 scaled AS (SELECT f.event_id, f.label_idx, {', '.join(f'{sql_robust(c)} AS {c}' for c in FRAME_NUMERIC)},
   u.code AS username, i.code AS src_ip, a.code AS product_name, b.code AS pipeline FROM soc_frame f
   JOIN te_user u ON u.value = f.username JOIN te_ip i ON i.value = f.src_ip
   JOIN o_product a ON a.value = f.product_name JOIN o_pipe b ON b.value = f.pipeline)
 SELECT event_id, {', '.join(f'round({c}, 6) AS {c}' for c in FRAME_NUMERIC + HIGH + LOW)},
-  {', '.join(f'round({a} * {b}, 6) AS inter_{a}_{b}' for a, b in TOP_PAIRS)} FROM scaled"""
+  {', '.join(f'round({a} * {b}, 6) AS inter_{a}_{b}' for a, b in PAIRS)} FROM scaled"""
 
 
 @query("feature_fit_transform", FEATURE_SQL)
@@ -296,19 +289,24 @@ def _(spark, folder):
     return again.transform(frame).select("event_id", *[r6(c).alias(c) for c in again.scalar_columns()])
 
 
-BASE_NAMES = [*FRAME_NUMERIC, *HIGH, *LOW, *[f"tfidf_{i}" for i in range(100)]]
+BASE_NAMES = [*FRAME_NUMERIC, *HIGH, *LOW]
+# Terms of the events' own messages: three rows at least, the most frequent up to the limit.
+FRAME_TERMS = FRAME + ", " + CHAR_GRAMS.replace("soc_text", "soc_frame") + STATS_SQL + f""",
+terms AS (SELECT least({TEXT_TERMS}, count(*)) AS n FROM stats WHERE df >= 3)"""
 
 
-@query("final_feature_names", FRAME + f""", {VARIANCES}
+@query("final_feature_names", FRAME_TERMS + f""", {VARIANCES}
 SELECT CAST(i AS BIGINT) AS pos, ([{', '.join(f"'{n}'" for n in BASE_NAMES)}])[i + 1] AS name FROM (SELECT unnest(range({len(BASE_NAMES)})) AS i) q
-UNION ALL SELECT {len(BASE_NAMES)} + r - 1, name FROM (SELECT name, row_number() OVER (ORDER BY variance DESC, name) AS r FROM variances) v WHERE r <= 2""")
+UNION ALL SELECT {len(BASE_NAMES)} + i, 'tfidf_' || i FROM (SELECT unnest(range(n)) AS i FROM terms) t
+UNION ALL SELECT {len(BASE_NAMES)} + (SELECT n FROM terms) + r - 1, name FROM (SELECT name, row_number() OVER (ORDER BY variance DESC, name) AS r FROM variances) v""")
 def _(spark, folder):
     _frame, model = fitted(spark, folder, text=True)
     return spark.createDataFrame(list(enumerate(model.feature_names())), "pos bigint, name string")
 
 
-@query("assemble_features", FRAME + """
-SELECT event_id, 110 AS n_features, CAST(1 AS DOUBLE) AS text_norm FROM soc_frame""")
+@query("assemble_features", FRAME_TERMS + """
+SELECT event_id, CAST(n + N_OTHERS AS INT) AS n_features, CAST(1 AS DOUBLE) AS text_norm FROM soc_frame, terms""".replace(
+    "N_OTHERS", str(len(BASE_NAMES) + len(PAIRS))))
 def _(spark, folder):
     """Scalars and sparse text of a row in one vector; the text part has length 1."""
     from pyspark.ml.functions import vector_to_array
