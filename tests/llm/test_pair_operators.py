@@ -390,3 +390,49 @@ def test_memo_keeps_what_recurs_within_its_bounds():
         assert bytes(values.astype(np.uint8)) == text.encode() and at.tolist() == [0, len(text), len(text), len(text)]
         assert len(memo.keys) <= 60
     assert seen.count(b" met") < 5
+
+
+def test_lines_of_a_long_text_take_linear_work(spark):
+    """40,000 lines of which most go; a quadratic search took 13 s here."""
+    import time
+
+    lines = [f"line {i} of the first text" for i in range(40_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["own start", *lines[:-1], "own end"]))], "doc_id long, text string")
+    dedup_lines(docs.limit(1), removed_col="n").collect()
+    start = time.monotonic()
+    got = {r.doc_id: r for r in dedup_lines(docs, removed_col="n").collect()}
+    assert time.monotonic() - start < 10
+    assert (got[1].n, got[2].n, got[2].text) == (0, 39_999, "own start\nown end")
+
+
+def test_cosines_of_very_large_and_small_components(spark):
+    for size in (1e200, 1e-200, 1.0):
+        rows = [(1, [size, 0.0], 3), (2, [size * 2, 1e-3 * size], 3), (3, [0.0, size], 3)]
+        got = embed_dedup.link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
+def test_weights_must_be_positive(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, source string")
+    for weight in (0, -1, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            mix_sources(docs, {"a": weight})
+
+
+def test_stages_take_a_table_with_clashing_columns(spark, tmp_path):
+    """A TEXT column, repeated rows, and texts that are null or empty pass every stage."""
+    import corpus_pipeline as pipeline
+
+    rows = [(i, None if i % 7 == 0 else "" if i % 7 == 1 else f"words of text {i % 5} " * 9 + f"\nand {i}", "en", f"s{i % 2}", 9) for i in range(21)]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumn("TEXT_", F.lit("other")).toDF("doc_id", "text", "lang", "source", "n_chars", "TEXT")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(21)], "doc_id int, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for k, (_, stage) in enumerate(pipeline.STAGES):
+        docs.write.parquet(str(tmp_path / f"in{k}"))
+        out = stage(spark, spark.read.parquet(str(tmp_path / f"in{k}")), str(tmp_path))
+        if k + 1 < len(pipeline.STAGES):
+            assert out.columns == pipeline.COLUMNS
+            assert out.count() <= 24
+        else:
+            assert out.where("lossless").count() == out.count() == 24

@@ -56,6 +56,7 @@ def _compare(threshold: float, epsilon: float | None):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rep", ignore_index=True)
         vectors = np.array(frame["vector"].tolist(), np.float64)
+        vectors /= np.abs(vectors).max(axis=1)[:, None]  # squares of very large or small components leave a double's range
         unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
         dims, n = unit.shape[1], len(unit)
         turned, packed, factor = encode(unit, rotation(dims))

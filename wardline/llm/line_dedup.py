@@ -46,7 +46,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     All columns are kept. ``removed_col``, if given, counts the lines removed and replaces a
     column of that name. Null texts stay null; texts of fewer than three lines stay as they are; a
     text all of whose lines go is empty. Null ids come before all others. Rows of equal id and
-    equal text are treated alike: neither is later than the other. An empty table stays empty.
+    equal text are treated alike: neither is later than the other. An empty table stays empty. The
+    work in a text grows with its lines; a very long text is one row, as it is in the table.
     """
     at = (docs.columns.index(id_col), docs.columns.index(text_col))
     every = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
@@ -65,11 +66,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split(text, "\n")
     gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.array(*[s + k for k in range(WINDOW)]))))
 
-    def rest(gone: Column) -> Column:
-        kept = F.filter(lines, lambda line, i: ~F.array_contains(gone, i))
-        return F.struct(F.array_join(kept, "\n").alias("text"), F.size(gone).cast("long").alias("n"))
+    def rest(row: Column) -> Column:
+        # a set difference of line numbers: work grows with the lines, however many of them go
+        kept = F.array_except(F.sequence(F.lit(0), F.size(row["lines"]) - 1), row["gone"])
+        return F.struct(F.array_join(F.transform(kept, lambda i: F.get(row["lines"], i)), "\n").alias("text"),
+                        F.size(row["gone"]).cast("long").alias("n"))
 
-    result = F.when(F.col("_starts").isNotNull(), F.transform(F.array(gone), rest).getItem(0))
+    row = F.struct(lines.alias("lines"), gone.alias("gone"))
+    result = F.when(F.col("_starts").isNotNull(), F.transform(F.array(row), rest).getItem(0))
     joined = joined.withColumn("_rest", result)
     out = [F.when(F.col("_rest").isNull(), text).otherwise(F.col("_rest.text")).alias(c) if i == at[1]
            else F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)

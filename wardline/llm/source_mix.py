@@ -136,13 +136,17 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
     weight says (a number counts as its shortest decimal form). No row is dropped: a source that
     runs out leaves its weight to the rest, and ``phase`` counts the sources that ran out before.
 
-    ``weights``: target weight of each source, 1 where it is not named; by default all are equal.
+    ``weights``: target weight of each source, 1 where it is not named; by default all are equal. A
+    weight that is no positive number raises.
     Every source is scheduled by its own weight; the driver holds a few numbers for each, and the
     tables of sources and slots are joined by their size. A null source is a source. Null ids are hashed like a value; rows alike in all
     columns may take each other's place. Columns named like a new one are replaced. An empty
     table stays empty.
     """
     weights = weights or {}
+    wrong = {s: w for s, w in weights.items() if not 0 < w < float("inf")}
+    if wrong:
+        raise ValueError(f"target weights must be positive numbers: {wrong}")
     source = docs.columns.index(source_col)
     flat = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     counts = pick(docs, source_col).groupBy(source_col).count()
