@@ -307,3 +307,26 @@ def test_rows_without_an_id_are_numbered_under_its_name(spark):
     alone = model.transform(df.drop("label"), has_label=False)
     assert alone.columns[0] == "evt_id" and alone.select("evt_id").distinct().count() == 300
     assert prep.fit_prep(df, [], ["text"], "label").transform(df).columns[0] == "event_id"
+
+
+def test_a_value_of_most_rows_is_spread(spark):
+    """One value with 90 % of the rows: no partition holds twice the median, without adaptive execution."""
+    from wardline.operators import features
+
+    rows = spark.range(40_000).select(
+        F.col("id"), F.when(F.col("id") % 10 != 0, "hot").when(F.col("id") % 20 == 0, F.concat(F.lit("v"), F.col("id"))).alias("c"),
+        (F.col("id") % 7).cast("double").alias("y"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(old, ("false", "8", "-1")):
+            spark.conf.set(k, v)
+        for table, default in (features.fit_target(rows, "c", "y"), (features.fit_ordinal(rows, "c"), -1.0)):
+            assert {r.value for r in table.where("heavy").collect()} == {"hot", "UNKNOWN"}
+            out = features.encode_values(rows, "c", table, default)
+            sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+            assert sum(sizes) == 40_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2] and len(sizes) == 8
+            plain = rows.withColumn("value", F.coalesce("c", F.lit("UNKNOWN"))).join(table, "value").select("id", F.col("code").alias("c"), "y")
+            assert out.select("id", "c", "y").exceptAll(plain).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators import ordering, prep, sparsefeat, textfeat
-from wardline.operators.joins import lookup
+from wardline.operators.joins import HEAVY, lookup, with_heavy
+from wardline.session import cut_lineage
 from wardline.sources.state import load_state, save_state
 
 # Encoder and interaction settings.
@@ -67,14 +68,17 @@ def fit_target(df: DataFrame, col: str, y: str, smoothing: float = SMOOTHING,
     )
     weight = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(float(min_samples))) / F.lit(float(smoothing))))
     code = F.lit(prior) * (1.0 - weight) + F.col("mean") * weight
-    return stats.select("value", code.alias("code")), prior
+    return with_heavy(stats, "n").select("value", code.alias("code"), HEAVY), prior
 
 
 def fit_ordinal(df: DataFrame, col: str, small_rows: int = ordering.SMALL_ROWS) -> DataFrame:
     """Value table (value, code): 0..k-1 in value order, for any number of values."""
-    values = df.select(_text_value(col).alias("value")).distinct().withColumn("one", F.lit(1).cast("bigint"))
-    ranked = ordering.running_sums(values, [], ["value"], {"one": "rank"}, small_rows)
-    return ranked.select("value", (F.col("rank") - 1).cast("double").alias("code"))
+    counts = with_heavy(df.groupBy(_text_value(col).alias("value")).agg(F.count("*").alias("n")), "n")
+    values = cut_lineage(counts.select("value", HEAVY, F.lit(1).cast("bigint").alias("one")))
+    ranked = ordering.running_sums(values.drop(HEAVY), [], ["value"], {"one": "rank"}, small_rows)
+    heavy = values.where(HEAVY).select("value", HEAVY)  # a fixed number at most
+    return ranked.join(F.broadcast(heavy), "value", "left").select(
+        "value", (F.col("rank") - 1).cast("double").alias("code"), F.coalesce(HEAVY, F.lit(False)).alias(HEAVY))
 
 
 def fit_low_card(df: DataFrame, cols: list[str], threshold: int = prep.HIGH_CARD_THRESHOLD) -> dict[str, list[str]]:
@@ -98,7 +102,8 @@ def encode_values(df: DataFrame, col: str, table: DataFrame, default: float, sma
     if col not in df.columns:
         return df.withColumn(col, F.lit(default))
     keyed = df.withColumn("__value", _text_value(col))
-    codes = table.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+    marks = [HEAVY] if HEAVY in table.columns else []
+    codes = table.select(F.col("value").alias("__value"), F.col("code").alias("__code"), *marks)
     out = lookup(keyed, codes, "__value", {"__code": default}, small=small)
     return out.withColumn(col, F.col("__code")).drop("__value", "__code")
 

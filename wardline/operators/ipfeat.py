@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from wardline.functions import ip as ipx
 from wardline.operators import ordering
-from wardline.operators.joins import lookup
+from wardline.operators.joins import lookup, with_heavy
 from wardline.session import cut_lineage
 
 # Output names of the statistics.
@@ -110,8 +110,9 @@ def fit_ip_behavior(df: DataFrame, ts_col: str = "timestamp", skip_if_src_host:
     # Written once: the medians and every later lookup read the small tables, not the events.
     src = cut_lineage(as_double(src, "src_ip")) if src is not None else None
     dst = cut_lineage(as_double(dst, "dst_ip")) if dst is not None else None
+    marked = lambda t, count: with_heavy(t, count) if t is not None else None
     return IpBehaviorModel(
-        src, dst,
+        marked(src, SRC_TOTAL), marked(dst, DST_TOTAL),
         ip_default_stats(src, "src_ip") if src is not None else {},
         ip_default_stats(dst, "dst_ip") if dst is not None else {},
     )
