@@ -212,19 +212,20 @@ def _(spark, folder):
     return spark.createDataFrame(used, "asked string, used string")
 
 
-@query("model_roundtrip", "SELECT count(*) AS n_rows, 0 AS n_violations, 'random_forest' AS best_name FROM events")
+@query("model_roundtrip", "SELECT 2 * count(*) AS n_rows, 0 AS n_violations, 'random_forest' AS best_name FROM events")
 def _(spark, folder):
-    """A saved and loaded model set gives the same probabilities for every event."""
+    """A saved and loaded model set gives the same probabilities for every event, by vote and by stack."""
     rows = event_vectors(spark, folder).persist()
     singles = {n: small(n).fit(rows) for n in BASES}
-    kept = ensemble.ModelSet(singles, ensemble.build_ensemble(singles), None, "random_forest", 1.0, K)
+    stack = ensemble.train_stacking({n: small(n) for n in BASES}, rows, "label_idx", "event_id", small("logistic"), folds=3)
+    kept = ensemble.ModelSet(singles, ensemble.build_ensemble(singles), stack, "random_forest", 1.0, K)
     path = scratch_path(spark, "models")
     kept.save(spark, path)
     again = ensemble.ModelSet.load(spark, path)
-    before = kept.predict(rows).select("event_id", F.col("probability").alias("a"))
-    after = again.predict(rows).select("event_id", F.col("probability").alias("b"))
+    said = lambda models, out, **use: models.predict(rows, **use).select("event_id", F.col("probability").alias(out))
+    both = [said(kept, "a", **use).join(said(again, "b", **use), "event_id") for use in ({}, {"use_stacking": True})]
     gap = F.exists(F.zip_with("a", "b", lambda x, y: F.abs(x - y)), lambda d: d > 1e-12)
-    return violations(before.join(after, "event_id"), gap).withColumn("best_name", F.lit(again.best_name))
+    return violations(both[0].unionByName(both[1]), gap).withColumn("best_name", F.lit(again.best_name))
 
 
 @query("incremental_train", "SELECT count(*) AS n_rows, 0 AS n_violations, 1 AS beats_majority FROM events")

@@ -16,24 +16,30 @@ from wardline.sources import files, views
 
 SOC_CTE = views.ctes("soc")
 EVENT_COLS = "event_id, user_id, event_type, value, props"
+EVENT_SQL = f"SELECT {EVENT_COLS}, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events"
 
 
-@query("read_parquet", f"SELECT {EVENT_COLS} FROM events")
+def _stamped(rows):
+    """All columns; times as text to the microsecond, which both engines print alike."""
+    return rows.select(*EVENT_COLS.split(", "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+@query("read_parquet", EVENT_SQL)
 def _(spark, folder):
-    return files.read_parquet(spark, f"{folder}/events.parquet").select(*EVENT_COLS.split(", "))
+    return _stamped(files.read_parquet(spark, f"{folder}/events.parquet"))
 
 
 def _events_csv(spark, folder):
-    rows = table(spark, folder, "events").select(*EVENT_COLS.split(", "))
+    rows = table(spark, folder, "events").select(*EVENT_COLS.split(", "), "ts")
     path = scratch_path(spark, "events-csv")
     files.write_csv(rows, path)
     return path, rows.schema
 
 
-@query("read_csv", f"SELECT {EVENT_COLS} FROM events")
+@query("read_csv", EVENT_SQL)
 def _(spark, folder):
     path, schema = _events_csv(spark, folder)
-    return files.read_csv(spark, path, schema)
+    return _stamped(files.read_csv(spark, path, schema))
 
 
 @query("read_auto", "SELECT o_orderkey AS id, 'parquet' AS source FROM orders UNION ALL SELECT event_id, 'csv' FROM events")

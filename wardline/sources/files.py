@@ -51,7 +51,10 @@ def union_all(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}).csv(path)
+    """Times are written to the microsecond; the reader takes them as they are."""
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    stamp = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+    df.write.options(**options, timestampNTZFormat=stamp, timestampFormat=stamp + "XXX").csv(path)
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
