@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import ensemble, features, metrics, models, prep, tuning
 from wardline.plans import lifecycle
-from wardline.sources import files, state
+from wardline.sources import files, state, views
 
 
 def events(spark, n=200, seed=42):
@@ -211,3 +211,27 @@ def test_boosted_models_are_explained_by_their_trees(spark):
     got = {r.feature: r for r in explain.explain(model, rows, rows, "id", ["own", "other"], ("shap",)).collect()}
     assert {r.method for r in got.values()} == {"shap_tree"}
     assert got["own"].importance > got["other"].importance
+
+
+def test_the_whole_flow_with_its_report(spark, tmp_path):
+    """Search, folds, incremental network, attribution and report tables in one call; scoring in another."""
+    events = views.load(spark, "/root/testdata/sf0.001", "soc")
+    report = str(tmp_path / "report")
+    run = lifecycle.train(
+        events, ["event_id", "ts"], ["message_sanitized"], "label", ["random_forest", "logistic"],
+        {"random_forest": {"num_trees": 4, "max_depth": 4}, "logistic": {"max_iter": 5}},
+        feature_options={"max_text_features": 10, "text_options": {"analyzer": "word", "ngram_range": (1, 1)}}, stacking=True,
+        stack_folds=2, search_trials=1, cv_folds=2, incremental={"epochs": 2, "hidden": [8]}, explain_methods=("permutation",),
+        explain_limits={"repeats": 1, "max_rows": 40}, report=report)
+    said = {(r["model"], r["dataset"]) for r in run.metrics.select("model", "dataset").distinct().collect()}
+    assert said == {*[(m, "validation") for m in ("random_forest", "logistic", "voting", "stacking", "incremental", "chosen")],
+                    ("random_forest", "folds"), ("logistic", "folds")}
+    assert [len(run.searched[n]) for n in ("random_forest", "logistic")] == [1, 0]
+    assert run.incremental.steps == 2
+    assert spark.read.json(f"{report}/comparison").count() == 6 and spark.read.json(f"{report}/confusion").count() == 9
+    assert {r["rows"] for r in spark.read.json(f"{report}/labels").collect()} == {"given", "trained on"}
+    assert spark.read.option("header", True).csv(f"{report}/importance/full").count() == len(run.feature_model.feature_names())
+    tables = lifecycle.score_files(events.drop("label"), run.prep_model, run.feature_model, run.models, str(tmp_path / "out"))
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out/predictions"))
+    assert rows.columns == ["event_id", "pred_label", *[c for c in rows.columns if c.startswith("prob_")]] and len(rows.columns) == 5
+    assert tables["distribution"].agg(F.sum("n")).first()[0] == rows.count() == 1000 and tables["top_malicious"].count() == 10
