@@ -45,18 +45,20 @@ def test_distinct_targets_stay_exact_after_a_kill(spark, tmp_path):
         rows += own
     stream = lambda: spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
 
-    def dies(batch, batch_id):
-        if batch_id == 1:
-            batch.count()
-            raise RuntimeError("killed")
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    spark.conf.set(activity.PROVIDER, activity.ROCKS)
-    query = activity.windowed_activity(stream(), "ts").writeStream.outputMode("update").foreachBatch(dies).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    with pytest.raises(StreamingQueryException):
-        query.awaitTermination()
-    spark.conf.unset(activity.PROVIDER)
+    # both queries die in their second batch, after the state of the batch was written
+    for name, rows_of, mode, summed in (
+            ("events", activity.windowed_events, "update", lambda b: b),
+            ("targets", activity.first_targets, "append", lambda b: b.groupBy(*activity.KEYS).agg(F.count("*").alias("new")))):
+        def dies(batch, batch_id):
+            if batch_id == 1:
+                batch.count()
+                raise RuntimeError("killed")
+            summed(batch).write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
+
+        query = rows_of(stream(), "ts").writeStream.outputMode(mode).foreachBatch(dies).option(
+            "checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start()
+        with pytest.raises(StreamingQueryException):
+            query.awaitTermination()
     got = activity.run_activity(spark, stream(), "ts", checkpoint, path=out).collect()
     found = {(r["src_ip"], r["window_start"].hour): (r["events"], r["dst_ips"]) for r in got}
     known = {}

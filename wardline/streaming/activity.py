@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-#: Parts by target into which the state of one address and window is dealt, so that a busy
-#: address meets in several tasks. A target is always in one part, so distinct counts add up.
-PARTS = 16
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-_OUT = "src_ip string, start_ms long, end_ms long, part int, events long, dst_ips long"
+KEYS = ["src_ip", "window_start", "window_end"]
 
 
 def with_event_time(df: DataFrame, ts_col: str) -> DataFrame:
@@ -24,64 +13,33 @@ def with_event_time(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
 
 
-class DistinctTargets(StatefulProcessor):
-    """Per address, window and part: events so far and each target once, until the window has closed."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.totals = handle.getValueState("totals", "events long, dst_ips long")
-        self.seen = handle.getMapState("seen", "dst_ip string", "met boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = not self.totals.exists()
-        events, targets = (0, 0) if new else self.totals.get()
-        now: set[str] = set()
-        for batch in rows:
-            events += len(batch)
-            now.update(batch["dst_ip"].dropna().unique())
-        for target in now:
-            if new or not self.seen.containsKey((target,)):
-                self.seen.updateValue((target,), (True,))
-                targets += 1
-        self.totals.update((events, targets))
-        src_ip, start_ms, end_ms, part = key
-        if new:
-            self.handle.registerTimer(int(end_ms))
-        yield pd.DataFrame({"src_ip": [src_ip], "start_ms": [start_ms], "end_ms": [end_ms], "part": [part],
-                            "events": [events], "dst_ips": [targets]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        self.totals.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def windowed_activity(stream: DataFrame, ts_col: str, width: str = "1 hour", slide: str | None = None,
-                      watermark: str = "1 hour") -> DataFrame:
-    """(src_ip, start_ms, end_ms, part, events, dst_ips): a part of a window whenever it changes.
-
-    A window closes, and its state goes, once the newest event is the watermark past its end;
-    the window end is the event time, so rows of open windows count however late they are.
-    Rows without an address or a time are left out; a null target is an event without target.
-    """
-    rows = with_event_time(stream, ts_col).where(F.col("src_ip").isNotNull() & F.col(ts_col).isNotNull())
+def _placed(stream: DataFrame, ts_col: str, width: str, slide: str | None, watermark: str) -> DataFrame:
+    """(src_ip, dst_ip, w) of rows with an address; the window carries the watermark."""
+    timed = with_event_time(stream, ts_col).withWatermark(ts_col, watermark).where(F.col("src_ip").isNotNull())
     span = F.window(F.col(ts_col), width, slide) if slide else F.window(F.col(ts_col), width)
-    placed = rows.select("src_ip", "dst_ip", span.alias("w"))
-    # ends run ahead of the events by up to a width
-    late = f"{_seconds(stream.sparkSession, watermark) + _seconds(stream.sparkSession, width)} seconds"
-    keyed = placed.select(
-        "src_ip", "dst_ip", F.unix_millis("w.start").alias("start_ms"), F.unix_millis("w.end").alias("end_ms"),
-        F.pmod(F.xxhash64("dst_ip"), F.lit(PARTS)).cast("int").alias("part"), F.col("w.end").alias("ends")).withWatermark("ends", late)
-    return keyed.groupBy("src_ip", "start_ms", "end_ms", "part").transformWithStateInPandas(
-        DistinctTargets(), _OUT, "Update", "eventTime")
+    return timed.select("src_ip", "dst_ip", span.alias("w"))
+
+
+def _bounds(df: DataFrame, *others: str) -> DataFrame:
+    return df.select("src_ip", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *others)
+
 
+def windowed_events(stream: DataFrame, ts_col: str, width: str = "1 hour", slide: str | None = None,
+                    watermark: str = "1 hour") -> DataFrame:
+    """Events per address and window, for update mode. State holds only windows younger than the watermark."""
+    placed = _placed(stream, ts_col, width, slide, watermark)
+    return _bounds(placed.groupBy("src_ip", "w").agg(F.count("*").alias("events")), "events")
 
-def _seconds(spark: SparkSession, interval: str) -> int:
-    start = F.timestamp_seconds(F.lit(0))
-    return spark.range(1).select(F.unix_seconds(start + F.expr(f"INTERVAL {interval}")).alias("s")).first()["s"]
+
+def first_targets(stream: DataFrame, ts_col: str, width: str = "1 hour", slide: str | None = None,
+                  watermark: str = "1 hour") -> DataFrame:
+    """Each target of an address and window once, when it is first met.
+
+    The state is one key for each of them, dealt by all three, so a busy address is no single
+    key; it goes when the window closes. A null target is none.
+    """
+    placed = _placed(stream, ts_col, width, slide, watermark).where(F.col("dst_ip").isNotNull())
+    return _bounds(placed.dropDuplicates(["src_ip", "w", "dst_ip"]), "dst_ip")
 
 
 def run_activity(spark: SparkSession, stream: DataFrame, ts_col: str, checkpoint: str, width: str = "1 hour",
@@ -91,29 +49,31 @@ def run_activity(spark: SparkSession, stream: DataFrame, ts_col: str, checkpoint
     ``path`` holds the results and belongs to the checkpoint: a resumed query gives the same
     one. By default it lies beside the checkpoint.
 
-    Update mode emits a part of a window whenever it changes; each micro-batch is stored under its
-    number, so a replay overwrites itself, and the newest version of a part wins.
+    Two queries read the stream. Of the events, update mode emits a window whenever it changes, and
+    the newest version wins; of the targets, each micro-batch adds those not met before. Every
+    micro-batch is stored under its number, so a replay overwrites itself.
     """
     out = path or checkpoint.rstrip("/") + "-windows"
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    provider = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)  # keyed state with timers needs it; a running query keeps its own
-    try:
-        activity = windowed_activity(stream, ts_col, width, slide, watermark)
-        query = (
-            activity.writeStream.outputMode("update").foreachBatch(store)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
+    def run(rows: DataFrame, name: str, mode: str, summed) -> None:
+        def store(batch: DataFrame, batch_id: int) -> None:
+            summed(batch).write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
+
+        query = rows.writeStream.outputMode(mode).foreachBatch(store).option(
+            "checkpointLocation", f"{checkpoint.rstrip('/')}/{name}").trigger(availableNow=True).start()
         query.awaitTermination()
-    finally:
-        spark.conf.unset(PROVIDER) if provider is None else spark.conf.set(PROVIDER, provider)
-    versions = spark.read.schema(_OUT).option("basePath", out).parquet(out + "/batch=*")
-    newest = F.max(F.struct(F.col("batch").cast("bigint").alias("batch"), "events", "dst_ips")).alias("v")
-    parts = versions.groupBy("src_ip", "start_ms", "end_ms", "part").agg(newest)
-    return parts.groupBy("src_ip", "start_ms", "end_ms").agg(
-        F.sum("v.events").alias("events"), F.sum("v.dst_ips").alias("dst_ips")).select(
-        "src_ip", F.timestamp_millis("start_ms").alias("window_start"), F.timestamp_millis("end_ms").alias("window_end"),
-        "events", "dst_ips")
+
+    events = windowed_events(stream, ts_col, width, slide, watermark)
+    targets = first_targets(stream, ts_col, width, slide, watermark)
+    counted = lambda batch: batch.groupBy(*KEYS).agg(F.count("*").alias("new"))
+    run(events, "events", "update", lambda batch: batch)
+    run(targets, "targets", "append", counted)
+
+    def stored(name: str, column: str) -> DataFrame:
+        schema = f"src_ip string, window_start timestamp, window_end timestamp, {column} long"
+        return spark.read.schema(schema).option("basePath", f"{out}/{name}").parquet(f"{out}/{name}/batch=*")
+
+    newest = F.max(F.struct(F.col("batch").cast("bigint").alias("batch"), "events")).alias("v")
+    latest = stored("events", "events").groupBy(*KEYS).agg(newest).select(*KEYS, "v.events")
+    met = stored("targets", "new").groupBy(*KEYS).agg(F.sum("new").alias("dst_ips"))
+    return latest.join(met, KEYS, "left").select(*KEYS, "events", F.coalesce("dst_ips", F.lit(0)).cast("long").alias("dst_ips"))
