@@ -139,7 +139,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows = event_vectors(spark, folder)
     found = tuning.hyper_search("random_forest", rows, "label_idx", "event_id", K, trials=2, fixed={"num_trees": 10, "max_depth": 6})
-    scores = [f["score"] for f in found]
+    scores = [(f["folds"], f["score"]) for f in found]
     nothing = tuning.hyper_search("mlp", rows, "label_idx", "event_id", K, trials=2)
     return spark.createDataFrame([(len(found), int(scores == sorted(scores, reverse=True)), len(nothing))],
                                  "n_trials int, best_first int, n_unsupported int")
@@ -165,7 +165,7 @@ def _(spark, folder):
     trials = spark.read.parquet(f"{folder}/region.parquet").count()
     parts = [tuning.search_space(spark, kind, trials).select(F.lit(kind).alias("model"), "trial", "param", r6("value").alias("value"))
              for kind in tuning.SPACES]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("voting_model", VAL_ROWS)
