@@ -20,8 +20,8 @@ HEADLINE = [
     "dedup_rows", "prep_fit_transform", "stratified_split", "stratified_kfold",
     "event_profile", "ip_behavior_lookup", "ip_topology", "ip_activity_windows", "hard_features", "label_purity",
     "robust_scale", "target_encode", "feature_fit_transform", "char_wb_ngrams", "tfidf_transform", "select_by_mutual_info",
-    "compute_metrics", "roc_points", "random_under", "random_over", "knn_any_class", "smote", "smote_enn",
-    "random_forest", "gbt_ovr", "mlp", "stacking", "shap_tree", "permutation_importance", "stream_ip_activity",
+    "compute_metrics", "roc_points", "random_under", "random_over", "knn_any_class", "smote", "smote_enn", "knn_lsh",
+    "random_forest", "gbt_ovr", "gbt_ovr_balanced", "leafwise", "mlp", "stacking", "shap_tree", "permutation_importance", "stream_ip_activity",
 ]
 
 
