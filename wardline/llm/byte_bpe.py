@@ -65,7 +65,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class DuckBpe:
     """Encoder and decoder of one rank file, with memos of the segments met by this worker."""
 
-    def __init__(self, path: str, pattern: str, most_words: int = 500_000, most_segments: int = 350_000):
+    def __init__(self, path: str, pattern: str, most_words: int = 1_000_000, most_segments: int = 800_000):
         import duckdb
         import regex
 

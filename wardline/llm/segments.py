@@ -144,7 +144,7 @@ class Memo:
     """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 350_000,
-                 kind=np.int32, most_bytes: int = 24 << 20):
+                 kind=np.int32, most_bytes: int = 40 << 20):
         """``encode`` returns the results of a list of segments end to end, and the size of each."""
         self.encode, self.most, self.kind, self.most_bytes = encode, most, kind, most_bytes
         self.clear()
