@@ -369,7 +369,10 @@ def grow(nodes: list[Node], num_leaves: int) -> tuple[list[int], list[int]]:
     while heap and len(chosen) < num_leaves - 1:
         _, v = heapq.heappop(heap)
         if nodes[v].children is None:
-            return chosen, [v, *[u for _, u in sorted(heap) if nodes[u].children is None]]
+            # whatever may still be split, also below nodes that wait for their turn: so that every job
+            # opens a level everywhere and a tree takes about as many jobs as it is deep
+            rest = [u for u, node in enumerate(nodes) if u != v and node.children is None and node.gain > 0]
+            return chosen, [v, *sorted(rest, key=lambda u: (-nodes[u].gain, u))]
         chosen.append(v)
         for u in nodes[v].children:
             if nodes[u].gain > 0:

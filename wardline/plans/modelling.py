@@ -32,7 +32,7 @@ SMALL = {
     "gbt_ovr": {"rounds": 5, "max_depth": 4},
     "gbt_ovr_balanced": {"rounds": 5, "max_depth": 5},
     "mlp": {},
-    "leafwise": {"rounds": 8},
+    "leafwise": {"rounds": 5},
     "logistic": {"max_iter": 50},
 }
 
@@ -299,7 +299,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Contributions of every event to the score of each class sum to it minus the base."""
     rows = event_vectors(spark, folder).persist()
-    model = models.Classifier("leafwise", {"rounds": 4}, K).fit(rows).parts[0]
+    model = models.Classifier("leafwise", {"rounds": 2}, K).fit(rows).parts[0]
     found = []
     said = model.predict(rows).select("event_id", "probability")
     for c in range(K):
