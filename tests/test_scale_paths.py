@@ -3,9 +3,11 @@
 import ipaddress
 import math
 import random
+import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +230,34 @@ def test_tfidf_against_plain_python(spark):
         assert r["weights"] == pytest.approx([raw[i] / norm for i in sorted(raw)])
 
 
+@pytest.mark.parametrize("analyzer, low, high", [("char_wb", 1, 4), ("char_wb", 4, 5), ("word", 1, 2), ("word", 2, 3)])
+def test_terms_leave_a_task_counted(spark, monkeypatch, analyzer, low, high):
+    """Occurrences are added up in the tasks, none is shuffled, also when a task must hand over its terms early."""
+    monkeypatch.setattr(textfeat, "MAX_TERMS", 3)
+    texts = TEXTS * 3 + ["\U0001f600 a\U0001f600b beta", "beta" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string").repartition(3)
+    out = textfeat.term_statistics(df, "t", analyzer, (low, high))
+    assert "Generate" not in out._jdf.queryExecution().toString()
+
+    def grams(text):
+        if analyzer == "word":
+            words = re.findall(r"\w{2,}", (text or "").lower())
+            return [" ".join(words[i:i + n]) for n in range(low, high + 1) for i in range(len(words) - n + 1)]
+        words = [f" {w} " for w in (text or "").lower().split()]
+        return [w[i:i + n] for w in words for n in range(low, max(low, min(high, len(w))) + 1) for i in range(max(len(w) - n, 0) + 1)]
+
+    docs = [grams(t) for t in texts]
+    wanted = {g: (sum(d.count(g) for d in docs), sum(g in d for d in docs)) for d in docs for g in d}
+    assert {r["term"]: (r["tf"], r["df"]) for r in out.collect()} == wanted
+
+
+def test_rows_of_words_in_pieces(monkeypatch):
+    monkeypatch.setattr(textfeat, "MAX_WORDS", 4)
+    rows = pa.array([["a", "b"], None, ["c"] * 9, [], ["d"], ["e"] * 4, ["f"]], pa.list_(pa.string())).slice(1)
+    assert [len(x) for x in textfeat._pieces(rows)] == [1, 1, 2, 1, 1]
+    assert sum((x.to_pylist() for x in textfeat._pieces(rows, 2)), []) == rows.to_pylist()
+
+
 def test_tree_contributions_are_shapley_values(spark):
     """Against the defining sum over coalitions, with expectations by cover."""
     from wardline.operators.models import forest
