@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import ip as ipx
 from wardline.functions.hashing import hash_hex
-from wardline.operators import explain, features, ipfeat, metrics, ordering, resample, sampling, textfeat
+from wardline.operators import explain, features, ipfeat, metrics, neighbors, ordering, resample, sampling, textfeat
 from wardline.operators.joins import lookup
 from wardline.operators.neighbors import knn
 
@@ -128,6 +128,25 @@ def test_knn_is_exact(spark, same, block_rows):
     assert got == brute(rows, 4, same)
 
 
+def test_rows_do_not_meet_ever_more_blocks():
+    """A vector is sent to each block at most: their number stays, and no block outgrows a task."""
+    for total in (20_000, 300_000, 1_200_000, 2_000_000):
+        size = neighbors._block_size(total, neighbors.BLOCK_ROWS)
+        assert math.ceil(total / size) <= neighbors.ENOUGH_BLOCKS and size <= 131_072
+
+
+@pytest.mark.parametrize("k", [1, 4, 30])
+def test_candidates_beyond_the_bound_are_left_out(k):
+    rng = np.random.default_rng(0)
+    data, asked = rng.integers(0, 4, (300, 3)).astype(float), rng.integers(0, 4, (40, 3)).astype(float)
+    ids = [[i, i + 1000] for i in range(300)]
+    bound = rng.integers(0, 9, 40).astype(float)
+    bound[::4] = np.inf
+    for q, b, (dists, found) in zip(asked, bound, neighbors._best(asked, data, ids, k, bound)):
+        wanted = sorted((float(((x - q) ** 2).sum()), i) for x, own in zip(data, ids) for i in own)[:k]
+        assert [p for p in zip(dists, found) if p[0] <= b] == [p for p in wanted if p[0] <= b]
+
+
 def test_cleaning_and_synthesis_do_not_depend_on_blocks(spark):
     df, rows = vectors(spark, 150)
     near1, near3 = brute(rows, 1, False), brute(rows, 3, False)

@@ -22,24 +22,42 @@ from wardline.session import cut_lineage
 DIGITS = 9
 BLOCK_ROWS = 16_384
 MAX_PIVOTS = 4096
-CHUNK = 256
+#: Blocks that are enough: beyond them a block grows, up to WIDEST times, so that a vector is not sent to ever more of them.
+ENOUGH_BLOCKS, WIDEST = 16, 8
+#: Distances held at a time, and candidates of a row, as multiples of k, that are compared without a cut.
+CELLS, FEW = 1 << 21, 8
 
 
-def _best(queries: np.ndarray, data: np.ndarray, ids: list, k: int) -> list[tuple[list[float], list[int]]]:
-    """Per query the k smallest (rounded squared distance, id) over the data rows and their copies."""
+def _best(queries: np.ndarray, data: np.ndarray, ids: list, k: int, bound: np.ndarray | None = None) -> list[tuple[list[float], list[int]]]:
+    """Per query the k smallest (rounded squared distance, id) over the data rows and their copies.
+
+    What is farther than ``bound`` may be left out.
+    """
     norms = np.einsum("ij,ij->i", data, data)
+    bound = np.full(len(queries), np.inf) if bound is None else bound
+    nth = min(k, data.shape[0]) - 1
     out = []
-    for start in range(0, len(queries), CHUNK):
-        part = queries[start:start + CHUNK]
+    chunk = max(1, CELLS // len(data))
+    for start in range(0, len(queries), chunk):
+        part = queries[start:start + chunk]
         part_norms = np.einsum("ij,ij->i", part, part)
-        rough = part_norms[:, None] + norms[None, :] - 2.0 * part @ data.T
+        rough = part @ data.T
+        rough *= -2.0
+        rough += norms
+        rough += part_norms[:, None]
         slack = 4.0 * 10.0**-DIGITS + 1e-12 * (part_norms.max() + norms.max())
-        nth = min(k, data.shape[0]) - 1
-        limit = np.partition(rough, nth, axis=1)[:, nth] + slack
-        for q, row, cut in zip(part, rough, limit):
-            near = np.flatnonzero(row <= cut)
-            exact = np.round(((data[near] - q) ** 2).sum(axis=1), DIGITS)
-            pairs = sorted((d, i) for d, place in zip(exact.tolist(), near.tolist()) for i in ids[place])[:k]
+        cut = bound[start:start + chunk] + slack
+        inside = rough <= cut[:, None]
+        many = np.flatnonzero(inside.sum(axis=1) > FEW * k)
+        if len(many):
+            least = np.partition(rough[many], nth, axis=1)[:, nth] + slack
+            inside[many] = rough[many] <= np.minimum(cut[many], least)[:, None]
+        of, near = np.nonzero(inside)
+        ends = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
+        for at, (a, b) in enumerate(zip(ends, ends[1:])):
+            own = near[a:b]
+            exact = np.round(((data[own] - part[at]) ** 2).sum(axis=1), DIGITS)
+            pairs = sorted((d, i) for d, place in zip(exact.tolist(), own.tolist()) for i in ids[place])[:k]
             out.append(([d for d, _ in pairs], [i for _, i in pairs]))
     return out
 
@@ -79,6 +97,11 @@ def _to_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInPandas(assign, "c int, vec array<double>, vid bigint, copies array<bigint>, cell int, reach double")
 
 
+def _block_size(total: int, least: int) -> int:
+    """Rows of a block: ``least`` until there are ENOUGH_BLOCKS, then more, within the memory of a task."""
+    return min(max(least, math.ceil(total / ENOUGH_BLOCKS)), WIDEST * least)
+
+
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None = None,
         block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, neighbor, rank, dist2): the k nearest other rows, of the same class if ``class_col`` is given.
@@ -87,6 +110,7 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int, class_col: str | None
     """
     vectors = cut_lineage(_distinct_vectors(df, id_col, vec_col, class_col, k))
     total = vectors.count()
+    block_rows = _block_size(total, block_rows)
     n_cells = min(MAX_PIVOTS, max(1, math.ceil(total / block_rows)))
     pivots = None
     if n_cells == 1:
@@ -145,9 +169,10 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
     by_class: dict[int, list[tuple[int, float, int]]] = {}
     for (c, cell), (_, radius) in stats.items():
         by_class.setdefault(c, []).append((cell, radius, subs[c, cell]))
-    visit_schema = "c int, cell int, sub int, vid bigint, vec array<double>"
+    visit_schema = "c int, cell int, sub int, vid bigint, vec array<double>, bound double"
 
-    def visits(batches):
+    def visited(batches):
+        """(c, cell, sub, the rows that ask this block)."""
         for batch in batches:
             x = np.stack(batch["vec"].to_numpy()).astype(float)
             if pivots is None:
@@ -156,6 +181,7 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
                 gaps = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * x @ pivots.T, 0))
             bound = np.array([d[k] if len(d) > k else np.inf for d in batch["dists"]])
             reach = np.sqrt(bound + 4.0 * 10.0**-DIGITS) + 1e-6
+            batch = batch.assign(bound=bound)
             for c, part in batch.groupby("c"):
                 at = part.index.to_numpy() - batch.index[0]
                 for cell, radius, n_subs in by_class[c]:
@@ -167,15 +193,21 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
                         other = hit[(hit["cell"] != cell) | (hit["sub"] != sub)]
                         if other.empty:
                             continue
-                        yield pd.DataFrame({
-                            "c": np.int32(c), "cell": np.int32(cell), "sub": np.int32(sub),
-                            "vid": other["vid"], "vec": other["vec"],
-                        })
+                        yield np.int32(c), np.int32(cell), np.int32(sub), other
+
+    def visits(batches):
+        for c, cell, sub, rows in visited(batches):
+            yield rows[["vid", "vec", "bound"]].assign(c=c, cell=cell, sub=sub)[["c", "cell", "sub", "vid", "vec", "bound"]]
+
+    def counted(batches):
+        for c, cell, sub, rows in visited(batches):
+            yield pd.DataFrame({"c": [c], "cell": [cell], "sub": [sub], "n": [len(rows)]})
 
     asking = blocks.join(own.select("c", "vid", "dists"), ["c", "vid"]).select("c", "cell", "sub", "vid", "vec", "dists")
     asked = asking.mapInPandas(visits, visit_schema)
     # A block asked by very many rows is repeated for groups of askers of bounded size.
-    loads = asked.groupBy("c", "cell", "sub").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("groups"))
+    loads = asking.mapInPandas(counted, "c int, cell int, sub int, n long").groupBy("c", "cell", "sub").agg(
+        F.ceil(F.sum("n") / block_rows).cast("int").alias("groups"))
     queries = asked.join(loads, ["c", "cell", "sub"]).withColumn("g", F.pmod(F.xxhash64("vid"), F.col("groups")).cast("int"))
     data = blocks.join(loads, ["c", "cell", "sub"]).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
 
@@ -184,10 +216,12 @@ def _search_others(blocks: DataFrame, own: DataFrame, pivots, stats, subs, k: in
             return _frame(asking_rows.head(0), [])
         x = np.stack(block["vec"].to_numpy()).astype(float)
         q = np.stack(asking_rows["vec"].to_numpy()).astype(float)
-        return _frame(asking_rows, _best(q, x, block["copies"].tolist(), k + 1))
+        found = _best(q, x, block["copies"].tolist(), k + 1, asking_rows["bound"].to_numpy())
+        nearer = [i for i, (d, _) in enumerate(found) if d]
+        return _frame(asking_rows.iloc[nearer], [found[i] for i in nearer])
 
     keys = ["c", "cell", "sub", "g"]
     # New column identities: both sides come from the same blocks.
-    queries = queries.select(*[F.col(n).alias(n) for n in [*keys, "vid", "vec"]])
+    queries = queries.select(*[F.col(n).alias(n) for n in [*keys, "vid", "vec", "bound"]])
     data = data.select(*[F.col(n).alias(n) for n in [*keys, "vid", "vec", "copies"]])
     return queries.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(search, schema)
