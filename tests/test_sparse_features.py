@@ -2,10 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from wardline.operators import features, sparsefeat
+from wardline.operators import features, sparsefeat, trees
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +70,17 @@ def test_components_of_sparse_rows(spark, events, tmp_path):
         assert np.allclose(dense(again.assemble(again.transform(events))), scores)
     none = spark.createDataFrame([], "indices array<int>, values array<double>")
     assert sparsefeat.sparse_pca(none, 5, 2)[1].shape == (5, 0)
+
+
+def test_parts_of_a_sum_are_made_once(spark):
+    """Ordering them in Spark would run the job again to sample its keys."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            pass
+        made.add(1)
+        yield trees.part_row(TaskContext.get().partitionId(), np.ones(3))
+
+    total = trees.tree_sum(spark.range(8, numPartitions=4).mapInArrow(run, trees.PART), 3, tasks=4)
+    assert total.tolist() == [4.0, 4.0, 4.0] and made.value == 4
