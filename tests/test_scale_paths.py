@@ -379,3 +379,42 @@ def test_a_value_of_most_rows_is_spread(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_tabulated_contributions_equal_the_row_by_row_sum(monkeypatch):
+    """Bits of the cuts, infinite bounds, NaN and infinite values, leaves without a path, long paths."""
+    rng = np.random.default_rng(5)
+    leaves = [{"value": 0.3, "path": {}}]
+    for n in (1, 2, 3, 8, 9, 9):
+        bounds = lambda: sorted(rng.choice([-np.inf, -1.0, 0.0, 0.5, 1.0, np.inf], 2, replace=False))
+        feats = rng.permutation(10)[:n].tolist()
+        leaves += [{"value": float(rng.normal()), "path": {f: (*bounds(), float(rng.uniform(0.1, 1))) for f in feats}} for _ in range(4)]
+    x = rng.choice([-np.inf, -2.0, -1.0, 0.0, 0.25, 0.5, 1.0, 3.0, np.inf, np.nan], (700, 10))
+    made = explain._Contributions(leaves, 10)
+    assert made.count == 16 and len(made.long) == 8
+    monkeypatch.setattr(explain, "TABLE_BITS", 0)
+    plain = explain._Contributions(leaves, 10)
+    assert plain.count == 0
+    np.testing.assert_allclose(made(x), plain(x), atol=1e-12)
+    on = lambda leaf, row: {f: float(lo < row[f] <= hi) for f, (lo, hi, _) in leaf["path"].items()}
+    for row, phi in zip(x[:30], made(x[:30])):
+        expected = np.zeros(10)
+        for leaf in leaves[:13]:  # by the definition over all coalitions
+            agrees, feats = on(leaf, row), list(leaf["path"])
+            reach = lambda s: leaf["value"] * math.prod(agrees[f] if f in s else leaf["path"][f][2] for f in feats)
+            for f in feats:
+                rest = [g for g in feats if g != f]
+                for size in range(len(rest) + 1):
+                    for s in combinations(rest, size):
+                        share = math.factorial(size) * math.factorial(len(feats) - size - 1) / math.factorial(len(feats))
+                        expected[f] += share * (reach({*s, f}) - reach(set(s)))
+        short = explain._Contributions(leaves[:13], 10)(row[None])[0]
+        assert short == pytest.approx(expected, abs=1e-9)
+
+
+def test_contribution_leaves_are_tabulated_within_the_cells(monkeypatch):
+    monkeypatch.setattr(explain, "TABLE_CELLS", 20)
+    leaves = [{"value": 1.0, "path": {f: (-np.inf, 0.5, 0.5) for f in range(3)}}, {"value": 1.0, "path": {0: (0.5, np.inf, 0.5)}}]
+    made = explain._Contributions(leaves, 3)
+    assert made.count == 1 and len(made.long) == 1
+    assert made(np.zeros((50, 3))).shape == (50, 3)
