@@ -418,3 +418,14 @@ def test_contribution_leaves_are_tabulated_within_the_cells(monkeypatch):
     made = explain._Contributions(leaves, 3)
     assert made.count == 1 and len(made.long) == 1
     assert made(np.zeros((50, 3))).shape == (50, 3)
+
+
+def test_permuted_values_travel_without_hash_text(spark):
+    """Ranks by an expression as by a column; the window's exchange carries neither hash nor key."""
+    df = spark.createDataFrame([(i % 3, i, float(i)) for i in range(500)] + [(0, None, 1.0)], "f int, id bigint, value double")
+    by_text = ordering.hash_rank(df.withColumn("key", F.concat_ws("|", "f", "id")), ["f"], "key", "rank", "s", bucket_rows=20)
+    found = ordering.hash_rank(df, ["f"], "id", "rank", "s", bucket_rows=20, key=F.concat_ws("|", "f", "id"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, by_text.select("f", "id", "value", "rank").collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RepartitionByExpression"):]
+    assert "__hash" not in moved.split("Join")[0] and "__hash" in plan
