@@ -429,3 +429,21 @@ def test_permuted_values_travel_without_hash_text(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     moved = plan[plan.index("RepartitionByExpression"):]
     assert "__hash" not in moved.split("Join")[0] and "__hash" in plan
+
+
+def test_stream_batches_have_a_file_for_every_core(spark):
+    from wardline.plans.modelling import _stream_of
+
+    stream = _stream_of(spark, spark.range(1000), 2)
+    sizes = []
+    stream.writeStream.foreachBatch(lambda b, i: sizes.append((b.count(), len(b.inputFiles())))).option(
+        "checkpointLocation", spark.conf.get("spark.checkpoint.dir") + "/batches").trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 2 and sum(n for n, _ in sizes) == 1000
+
+
+def test_sparse_vectors_from_arrow_lists(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([([0, 3], [1.0, 2.0]), ([], []), ([4], [0.5])], "i array<int>, v array<double>")
+    found = [r["x"] for r in rows.select(features.sparse_vector(5)("i", "v").alias("x")).collect()]
+    assert found == [Vectors.sparse(5, [0, 3], [1.0, 2.0]), Vectors.sparse(5, [], []), Vectors.sparse(5, [4], [0.5])]
