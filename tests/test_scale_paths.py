@@ -447,3 +447,17 @@ def test_sparse_vectors_from_arrow_lists(spark):
     rows = spark.createDataFrame([([0, 3], [1.0, 2.0]), ([], []), ([4], [0.5])], "i array<int>, v array<double>")
     found = [r["x"] for r in rows.select(features.sparse_vector(5)("i", "v").alias("x")).collect()]
     assert found == [Vectors.sparse(5, [0, 3], [1.0, 2.0]), Vectors.sparse(5, [], []), Vectors.sparse(5, [4], [0.5])]
+
+
+def test_event_vectors_scan_the_events_once(spark, monkeypatch, tmp_path):
+    """The fits pass over the stored frame, not over the view of the source table."""
+    from wardline.plans import modelling
+
+    events = [(i, i % 7, ["view", "error", "signup"][i % 3], float(i % 5), f'{{"k": {i}}}') for i in range(60)]
+    table = spark.createDataFrame(events, "event_id bigint, user_id bigint, event_type string, value double, props string")
+    table.withColumn("ts", F.timestamp_seconds("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    seen, real = [], modelling.features.fit_standard
+    monkeypatch.setattr(modelling.features, "fit_standard", lambda df, cols: (seen.append(df.inputFiles()), real(df, cols))[1])
+    rows = modelling.event_vectors(spark, str(tmp_path))
+    assert seen and not any("events.parquet" in f for f in seen[0])
+    assert not any("events.parquet" in f for f in rows.inputFiles())
