@@ -266,3 +266,20 @@ def test_lm_is_normalised_and_learns():
     # the words that share output 0 divide its probability: seen ones by their counts, the last share is for new ones
     assert abs(sum(10 ** counts.base(count)) + 10 ** counts.base(1) + 10 ** counts.base(0) - 1) < 1e-12
     assert abs(10 ** model.rare - 10 ** counts.base(0)) < 1e-9
+
+
+def test_scoring_gives_memory_back_when_it_ends(monkeypatch):
+    """Batches stay Arrow arrays, and the worker frees what they took after the last one too."""
+    import pyarrow as pa
+
+    from wardline.llm import byte_cnn
+
+    freed = []
+    monkeypatch.setattr(byte_cnn, "let_go", lambda: freed.append(1))
+    net, texts = byte_cnn.ByteNet.fresh(), ["some text", None, "", "more " * 300]
+    found = list(byte_cnn._scores(net, iter([pa.array(texts), pa.array([], pa.string())])))
+    assert [len(x) for x in found] == [4, 0] and all(isinstance(x, pa.Array) for x in found)
+    assert found[0].to_pylist() == pytest.approx([float(byte_cnn._scores(net, iter([pa.array([t], pa.string())])).__next__()[0].as_py()) for t in texts])
+    freed.clear()
+    list(byte_cnn._scores(None, iter([pa.array(texts)])))
+    assert len(freed) == 2

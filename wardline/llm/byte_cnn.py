@@ -9,7 +9,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,6 +179,21 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column | None = None, most_rows
     return train([r[1].encode() for r in rows], [int(r[2]) for r in rows], epochs)
 
 
+def _scores(net: ByteNet | None, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Scores of batches of texts; the worker, which idles beside later steps, holds no memory before and after."""
+    let_go()
+    try:
+        for texts in batches:
+            if net is None:
+                yield pa.array(np.full(len(texts), 0.5))
+            else:
+                parts = [net.score(*utf8_bytes(texts.slice(a, b - a))) for a, b in slices(texts, 1 << 20)]
+                yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
+    finally:
+        texts = parts = None
+        let_go()
+
+
 def add_score(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_col: str = "text",
               score_col: str = "score") -> DataFrame:
     """All columns and ``score``, the probability of label 1; a column of that name is replaced.
@@ -190,16 +204,9 @@ def add_score(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text
     flat = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     at = docs.columns.index(text_col)
 
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        let_go()
-        for batch in batches:
-            texts = pa.array(batch, pa.string(), from_pandas=True)
-            if net is None:
-                yield pd.Series(np.full(len(texts), 0.5))
-            else:
-                parts = [net.score(*utf8_bytes(texts.slice(a, b - a))) for a, b in slices(texts, 1 << 20)]
-                yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _scores(net, batches)
 
     kept, seen = [], {score_col.lower()}
     for i, c in enumerate(docs.columns):
