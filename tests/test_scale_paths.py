@@ -461,3 +461,18 @@ def test_event_vectors_scan_the_events_once(spark, monkeypatch, tmp_path):
     rows = modelling.event_vectors(spark, str(tmp_path))
     assert seen and not any("events.parquet" in f for f in seen[0])
     assert not any("events.parquet" in f for f in rows.inputFiles())
+
+
+def test_permutation_query_repeats_in_full(spark, monkeypatch, tmp_path):
+    """Every feature is permuted as often as the operator says, over all events."""
+    from wardline.plans import catalog
+
+    events = [(i, i % 7, ["view", "error", "signup"][i % 3], float(i % 5), f'{{"k": {i}}}') for i in range(60)]
+    table = spark.createDataFrame(events, "event_id bigint, user_id bigint, event_type string, value double, props string")
+    table.withColumn("ts", F.timestamp_seconds("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    seen, real = [], explain._macro_f1
+    monkeypatch.setattr(explain, "_macro_f1", lambda cells, keys, k: (seen.append(cells), real(cells, keys, k))[1])
+    out = catalog.queries()["permutation_importance"](spark, str(tmp_path)).first()
+    scored = seen[0].groupBy("f").agg(F.count_distinct("r").alias("repeats"), F.sum("n").alias("n")).collect()
+    assert explain.REPEATS == 5 and {(r["repeats"], r["n"]) for r in scored} == {(5, 300)}
+    assert (len(scored), out["n_rows"], out["n_violations"]) == (6, 6, 0)
