@@ -476,3 +476,21 @@ def test_permutation_query_repeats_in_full(spark, monkeypatch, tmp_path):
     scored = seen[0].groupBy("f").agg(F.count_distinct("r").alias("repeats"), F.sum("n").alias("n")).collect()
     assert explain.REPEATS == 5 and {(r["repeats"], r["n"]) for r in scored} == {(5, 300)}
     assert (len(scored), out["n_rows"], out["n_violations"]) == (6, 6, 0)
+
+
+@pytest.mark.parametrize("scale, centre", [(1.0, 0.0), (1e-3, 1e3), (1e20, 0.0)])
+def test_distances_are_made_in_tiles(scale, centre):
+    """No matrix of queries x rows is held, and rough distances lose no neighbour, whatever the numbers are."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    data, asked = (centre + scale * rng.normal(size=(n, 8)) for n in (4000, 400))
+    tracemalloc.start()
+    found = neighbors._best(asked, data, [[i] for i in range(4000)], 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * 4000 * 8
+    for q, (dists, ids) in list(zip(asked, found))[:40]:
+        exact = np.round(((data - q) ** 2).sum(axis=1), neighbors.DIGITS)
+        wanted = sorted(zip(exact.tolist(), range(4000)))[:5]
+        assert list(zip(dists, ids)) == wanted

@@ -24,42 +24,113 @@ BLOCK_ROWS = 16_384
 MAX_PIVOTS = 4096
 #: Blocks that are enough: beyond them a block grows, up to WIDEST times, so that a vector is not sent to ever more of them.
 ENOUGH_BLOCKS, WIDEST = 16, 8
-#: Distances held at a time, and candidates of a row, as multiples of k, that are compared without a cut.
-CELLS, FEW = 1 << 21, 8
+#: Rows of a tile of distances on either side (what stays in a core's cache), candidates of a row, as multiples of k,
+#: that are compared without a cut, and pairs whose exact distances are made at a time.
+TILE, FEW, PAIRS = 512, 8, 1 << 16
 
 
-def _best(queries: np.ndarray, data: np.ndarray, ids: list, k: int, bound: np.ndarray | None = None) -> list[tuple[list[float], list[int]]]:
+class _Rough:
+    """Distances to fixed rows by one matrix product, in single precision where the numbers allow.
+
+    ``slack`` bounds how far a rough squared distance is off the rounded exact one, so nothing near is lost.
+    """
+
+    def __init__(self, queries: np.ndarray, data: np.ndarray):
+        self.centre = data.mean(axis=0)
+        with np.errstate(over="ignore", invalid="ignore"):
+            near, far = queries - self.centre, data - self.centre
+            self.norms, norms = np.einsum("ij,ij->i", near, near), np.einsum("ij,ij->i", far, far)
+            reach = np.sqrt(self.norms) + np.sqrt(norms.max())
+            moved = np.finfo(float).eps * max(np.abs(data).max(), np.abs(queries).max()) * math.sqrt(data.shape[1])
+        self.type = np.float32 if reach.max() < 1e15 else np.float64
+        self.slack = 4.0 * 10.0**-DIGITS + (data.shape[1] + 8) * np.finfo(self.type).eps * reach**2 + 4 * moved * (reach + moved)
+        self.near = np.hstack([near, np.ones((len(near), 1))]).astype(self.type)
+        self.far = np.hstack([-2.0 * far, norms[:, None]]).astype(self.type)
+
+    def within(self, rows: slice, cols: slice, cut: np.ndarray, room: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances without the squared length of the query, and where they are at most ``cut``.
+
+        Both are overwritten by the next tile, as fresh memory would cost more than the product.
+        """
+        near, far = self.near[rows], self.far[cols]
+        shape = (len(near), len(far))
+        if shape not in room:
+            room[shape] = np.empty(shape, self.type), np.empty(shape, bool)
+        made, inside = room[shape]
+        np.matmul(near, far.T, out=made)
+        # rounded up, so that the conversion loses nothing
+        limit = np.nextafter((cut - self.norms[rows]).astype(self.type), self.type(np.inf))
+        return made, np.less_equal(made, limit[:, None], out=inside)
+
+
+def _places(inside: np.ndarray) -> np.ndarray:
+    """Flat places of the few true cells, looked for eight at a time."""
+    if inside.size % 8:
+        return np.flatnonzero(inside)
+    words = np.flatnonzero(inside.reshape(-1).view(np.uint64))
+    word, bit = np.nonzero(inside.reshape(-1, 8)[words])
+    return words[word] * 8 + bit
+
+
+def _keep_least(dists: np.ndarray, best: np.ndarray, of: np.ndarray, found: np.ndarray, ids: np.ndarray) -> None:
+    """Merges (query, distance, id) candidates into the sorted k best of each query, in place."""
+    k = dists.shape[1]
+    rows, place = np.unique(of, return_inverse=True)
+    every = np.concatenate([np.repeat(np.arange(len(rows)), k), place])
+    d = np.concatenate([dists[rows].ravel(), found])
+    i = np.concatenate([best[rows].ravel(), ids])
+    order = np.lexsort((i, d, every))
+    starts = np.searchsorted(every[order], np.arange(len(rows)))
+    kept = order[starts[:, None] + np.arange(k)]
+    dists[rows], best[rows] = d[kept], i[kept]
+
+
+def _least(queries: np.ndarray, data: np.ndarray, ids: list, k: int, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Per query the k smallest (rounded squared distance, id) over the data rows and their copies.
 
-    What is farther than ``bound`` may be left out.
+    Two tables of k columns, where fewer are found filled up by an infinite distance. What is farther than
+    ``bound`` may be left out. Rough distances are made tile by tile; only what can be among the best so
+    far gets its exact distance.
     """
-    norms = np.einsum("ij,ij->i", data, data)
+    rough = _Rough(queries, data)
+    copies = np.array([len(own) for own in ids])
+    starts = np.concatenate([[0], np.cumsum(copies)])
+    flat = np.concatenate([np.asarray(own, dtype=np.int64) for own in ids])
     bound = np.full(len(queries), np.inf) if bound is None else bound
-    nth = min(k, data.shape[0]) - 1
-    out = []
-    chunk = max(1, CELLS // len(data))
-    for start in range(0, len(queries), chunk):
-        part = queries[start:start + chunk]
-        part_norms = np.einsum("ij,ij->i", part, part)
-        rough = part @ data.T
-        rough *= -2.0
-        rough += norms
-        rough += part_norms[:, None]
-        slack = 4.0 * 10.0**-DIGITS + 1e-12 * (part_norms.max() + norms.max())
-        cut = bound[start:start + chunk] + slack
-        inside = rough <= cut[:, None]
-        many = np.flatnonzero(inside.sum(axis=1) > FEW * k)
-        if len(many):
-            least = np.partition(rough[many], nth, axis=1)[:, nth] + slack
-            inside[many] = rough[many] <= np.minimum(cut[many], least)[:, None]
-        of, near = np.nonzero(inside)
-        ends = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
-        for at, (a, b) in enumerate(zip(ends, ends[1:])):
-            own = near[a:b]
-            exact = np.round(((data[own] - part[at]) ** 2).sum(axis=1), DIGITS)
-            pairs = sorted((d, i) for d, place in zip(exact.tolist(), own.tolist()) for i in ids[place])[:k]
-            out.append(([d for d, _ in pairs], [i for _, i in pairs]))
-    return out
+    room: dict = {}
+    all_dists, all_best = np.full((len(queries), k), np.inf), np.full((len(queries), k), np.iinfo(np.int64).max)
+    for start in range(0, len(queries), TILE):
+        rows = slice(start, start + TILE)
+        part, slack = queries[rows], rough.slack[rows]
+        dists, best = all_dists[rows], all_best[rows]
+        for at in range(0, len(data), TILE):
+            made, inside = rough.within(rows, slice(at, at + TILE), np.minimum(bound[rows], dists[:, -1]) + slack, room)
+            of, near = np.divmod(_places(inside), made.shape[1])
+            many = np.flatnonzero(np.bincount(of, minlength=len(part)) > FEW * k)
+            if len(many):
+                nth = min(k, made.shape[1]) - 1
+                least = np.partition(made[many], nth, axis=1)[:, nth] + 2 * slack[many]
+                inside[many] &= made[many] <= least[:, None]
+                of, near = np.divmod(_places(inside), made.shape[1])
+            near += at
+            for p in range(0, len(of), PAIRS):
+                q, x = of[p:p + PAIRS], near[p:p + PAIRS]
+                exact = np.round(((data[x] - part[q]) ** 2).sum(axis=1), DIGITS)
+                wanted = exact <= dists[q, -1]
+                q, x, exact = q[wanted], x[wanted], exact[wanted]
+                if not len(q):
+                    continue
+                n = copies[x]
+                each = np.repeat(starts[x] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                _keep_least(dists, best, np.repeat(q, n), np.repeat(exact, n), flat[each])
+    return all_dists, all_best
+
+
+def _best(queries: np.ndarray, data: np.ndarray, ids: list, k: int, bound: np.ndarray | None = None) -> list[tuple[list[float], list[int]]]:
+    """``_least`` as lists, as long as what is found."""
+    dists, best = _least(queries, data, ids, k, bound)
+    full = np.count_nonzero(dists < np.inf, axis=1).tolist()
+    return [(d[:n], i[:n]) for d, i, n in zip(dists.tolist(), best.tolist(), full)]
 
 
 def _frame(block: pd.DataFrame, found) -> pd.DataFrame:
